@@ -1,6 +1,6 @@
 """Driver queries: every operator on the driver tables, with an equivalent SQL where SQL can say it."""
 
-from . import joins, keyed
+from . import joins, keyed, scalars
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
