@@ -22,7 +22,8 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return load(self.spark, self.folder, name)
+        found = self.__dict__[name] = load(self.spark, self.folder, name)
+        return found
 
 
 def query(name: str, sql: str | None = None):

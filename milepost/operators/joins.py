@@ -51,6 +51,8 @@ def keyed_join(
     split; and a row hash where the key is NULL, so that rows without a key, which
     never match, do not meet in one partition. Without ``spread`` (``left`` is known
     to be unique and filled on the key) consecutive joins share one shuffle.
+
+    The key columns of the side stay in the result; ``_zero`` is removed.
     """
     test = None
     for c, name in keys:
@@ -60,13 +62,11 @@ def keyed_join(
     no_key = F.lit(False)
     for c, _ in keys:
         no_key = no_key | c.isNull()
-    row_hash = F.pmod(F.xxhash64(*[left[c] for c in left.columns]), F.lit(1 << 20)) + 1
-    left = left.withColumn("_spread", F.when(no_key, row_hash).otherwise(F.lit(0).cast("bigint")))
+    row_hash = F.pmod(F.xxhash64(*left.columns), F.lit(1 << 20)) + 1
+    number = F.when(no_key, row_hash).otherwise(F.lit(0).cast("bigint"))
     # Always 0, but not a constant to the optimizer, which would drop the second key.
     zero = F.pmod(F.xxhash64(*[name for _, name in keys]), F.lit(1).cast("bigint"))
-    return left.join(side.withColumn("_zero", zero), test & (F.col("_spread") == F.col("_zero")), how).drop(
-        "_spread", "_zero"
-    )
+    return left.join(side.withColumn("_zero", zero), test & (number == F.col("_zero")), how).drop("_zero")
 
 
 def enrich(
@@ -79,21 +79,28 @@ def enrich(
     where: Column | None = None,
     cast: str | None = None,
     normalise=None,
-    spread: bool = True,
+    spread: bool | None = None,
     what: str = "lookup",
 ) -> DataFrame:
     """Left join that adds columns of ``dim``.
 
     on         key pairs ``(fact key, dim key)``, or a name common to both
-    cols       dim columns to add; a mapping renames ``{dim name: new name}``
+    cols       dim columns to add; a mapping renames ``{dim name: new name}``.
+               A fact column of the same name is replaced.
     expect     ``one``: at most one dim row per key, the fact keeps its row count.
                With ``order_by`` the first row in that order is used, otherwise two
-               rows for a key are an error. ``many``: plain left join.
+               rows for a key are an error.
+               ``unique``: the key is the declared primary key of the table; it is
+               not checked again (see :func:`assert_unique`), so the dim is read
+               straight into the join. ``many``: every matching row.
     where      filter on dim before the join (a constant residual in ON)
     cast       type both keys are safely cast to
     normalise  function Column -> Column applied to both keys
-    spread     see :func:`keyed_join`; False when the fact is unique on the key
+    spread     see :func:`keyed_join`: by default for ``one``; False when the fact is
+               unique on the key, True for an aggregated side that is ``unique``
     """
+    if expect not in ("one", "unique", "many"):
+        raise ValueError(f"expect must be 'one', 'unique' or 'many', not {expect!r}")
     if where is not None:
         dim = dim.filter(where)
     pairs = [(p, p) if isinstance(p, str) else p for p in on]
@@ -108,24 +115,37 @@ def enrich(
         own = {r for _, r in pairs if isinstance(r, str)}
         cols = [c for c in dim.columns if c not in own]
     renamed = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
+    order_names = _order_names(order_by)
+    fact_columns = fact.columns
+    clash = {f"_d_{new}": new for new in renamed.values() if new in fact_columns}
     slim = dim.select(
         *[keyed(r, dim).alias(n) for (_, r), n in zip(pairs, names)],
-        *[F.col(c).alias(f"_d_{c}") for c in dict.fromkeys([*renamed, *_order_names(order_by, dim)])],
+        *[F.col(c).alias(f"_d_{new}" if f"_d_{new}" in clash else new) for c, new in renamed.items()],
+        *[F.col(c).alias(f"_o_{c}") for c in order_names],
     )
     if expect == "one":
-        order = [_renamed_order(c, dim) for c in order_by] if order_by else None
-        slim = one_per_key(slim, names, order, what)
-    elif expect != "many":
-        raise ValueError(f"expect must be 'one' or 'many', not {expect!r}")
-
+        slim = one_per_key(slim, names, [_renamed_order(c) for c in order_by] if order_by else None, what)
+    if order_names:
+        slim = slim.drop(*[f"_o_{c}" for c in order_names])
     left_keys = [(keyed(left, fact), n) for (left, _), n in zip(pairs, names)]
-    return keyed_join(fact, slim, left_keys, spread=spread and expect == "one").select(
-        *[fact[c] for c in fact.columns if c not in renamed.values()],
-        *[F.col(f"_d_{c}").alias(new) for c, new in renamed.items()],
-    )
+    if spread is None:
+        spread = expect == "one"
+    out = keyed_join(fact, slim, left_keys, spread=spread).drop(*names, *clash.values())
+    return out.withColumnsRenamed(clash) if clash else out
+
 
+def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> DataFrame:
+    """The same table, after checking at once that its key is unique; NULL keys do not count.
 
-def _order_names(order_by: Order | None, dim: DataFrame) -> list[str]:
+    Run it on a dimension when it is loaded, then join it with ``expect="unique"``.
+    """
+    repeated = df.na.drop("any", subset=list(keys)).groupBy(*keys).count().filter(F.col("count") > 1)
+    if not repeated.isEmpty():
+        raise ValueError(f"{what}: several rows for one key {list(keys)}")
+    return df
+
+
+def _order_names(order_by: Order | None) -> list[str]:
     return [c for c, _ in (_split(o) for o in order_by or [])]
 
 
@@ -137,9 +157,9 @@ def _split(order) -> tuple[str, str]:
     return name, direction.strip().lower() or "asc"
 
 
-def _renamed_order(order: str, dim: DataFrame) -> Column:
+def _renamed_order(order: str) -> Column:
     name, direction = _split(order)
-    c = F.col(f"_d_{name}")
+    c = F.col(f"_o_{name}")
     return c.desc_nulls_last() if direction == "desc" else c.asc_nulls_first()
 
 
@@ -151,11 +171,13 @@ def star_join(fact: DataFrame, steps: Sequence[tuple]) -> DataFrame:
 
 
 def role_join(
-    fact: DataFrame, dim: DataFrame, key: str, roles: Mapping[str, str], cols: Sequence[str], cast: str | None = None
+    fact: DataFrame, dim: DataFrame, key: str, roles: Mapping[str, str], cols: Sequence[str], cast: str | None = None,
+    expect: str = "one",
 ) -> DataFrame:
     """Join one dimension several times, ``{role: fact key}``; columns become ``role_column``."""
     for role, fact_key in roles.items():
-        fact = enrich(fact, dim, [(fact_key, key)], {c: f"{role}_{c}" for c in cols}, cast=cast, what=role)
+        renamed = {c: f"{role}_{c}" for c in cols}
+        fact = enrich(fact, dim, [(fact_key, key)], renamed, expect=expect, cast=cast, what=role)
     return fact
 
 

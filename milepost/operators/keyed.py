@@ -59,28 +59,30 @@ def add_group_values(
     (few by definition) are joined by broadcast, and their rows leave the shuffle
     join spread over all partitions. NULL keys form one group, as in a window.
     """
-    names = list(values)
+    names, n_keys = list(values), len(keys)
     groups = df.groupBy(*keys).agg(*[v.alias(n) for n, v in values.items()], F.count(F.lit(1)).alias("_n"))
-    groups = groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.struct(*names).alias("_v"), "_n")
+    groups = groups.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], F.struct(*names).alias("_v"), "_n")
+    key_names = [f"_g{i}" for i in range(n_keys)]
     hot = groups.filter(F.col("_n") > hot_rows).withColumnRenamed("_v", "_hot")
     cold = groups.filter(F.col("_n") <= hot_rows).withColumnRenamed("_v", "_cold")
 
-    same_key = _null_safe(df, keys, "_g_")
-    out = df.join(F.broadcast(hot), same_key, "left").select(*[df[c] for c in df.columns], "_hot")
+    out = df.join(F.broadcast(hot), _null_safe(df, keys, key_names), "left").drop("_n", *key_names)
     # Rows of hot groups have their value already: a spread number keeps them from
-    # meeting in one partition. It is 0 for all others and on the right-hand side.
-    spread = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) + 1).otherwise(F.lit(0))
-    out = out.withColumn("_spread", spread.cast("bigint"))
-    cold = cold.withColumn("_zero", F.when(F.col("_n") < 0, 1).otherwise(0).cast("bigint"))
-    joined = out.join(cold, _null_safe(out, keys, "_g_") & (F.col("_spread") == F.col("_zero")), "left")
+    # meeting in one partition. It is 0 for all others and on the right-hand side,
+    # where it must not look like a constant to the optimizer.
+    row_hash = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) + 1
+    spread = F.when(F.col("_hot").isNotNull(), row_hash).otherwise(F.lit(0).cast("bigint"))
+    cold = cold.withColumn("_zero", F.pmod(F.xxhash64(*key_names), F.lit(1).cast("bigint")))
+    joined = out.join(cold, _null_safe(out, keys, key_names) & (spread == F.col("_zero")), "left")
     found = F.coalesce(F.col("_hot"), F.col("_cold"))
-    return joined.select(*[out[c] for c in df.columns], *[found[n].alias(n) for n in names])
+    return joined.withColumns({n: found[n] for n in names}).drop("_hot", "_cold", "_n", "_zero", *key_names)
 
 
-def _null_safe(df: DataFrame, keys: Sequence[str], prefix: str) -> Column:
-    test = F.lit(True)
-    for k in keys:
-        test = test & df[k].eqNullSafe(F.col(f"{prefix}{k}"))
+def _null_safe(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> Column:
+    test = None
+    for k, name in zip(keys, names):
+        part = df[k].eqNullSafe(F.col(name))
+        test = part if test is None else test & part
     return test
 
 
@@ -113,14 +115,13 @@ def primary_flag(
     first = df.groupBy(key).agg(F.min(F.struct(*order_by)).alias("_first"))
     if not null_group:
         first = first.filter(F.col(key).isNotNull())
+    names = ["_f", *[f"_f{i}" for i in range(len(order_by))]]
     first = first.select(
-        F.col(key).alias("_f_key"), *[F.col("_first")[c].alias(f"_f_{i}") for i, c in enumerate(order_by)],
+        F.col(key).alias("_f"), *[F.col("_first")[c].alias(n) for c, n in zip(order_by, names[1:])],
         F.lit(True).alias("_is_first"),
     )
-    test = df[key].eqNullSafe(F.col("_f_key"))
-    for i, c in enumerate(order_by):
-        test = test & df[c].eqNullSafe(F.col(f"_f_{i}"))
     flag = F.when(F.col("_is_first"), labels[0]).otherwise(labels[1])
     if not null_group:
         flag = F.when(df[key].isNotNull(), flag)
-    return df.join(first, test, "left").select(*[df[c] for c in df.columns], flag.alias(name))
+    joined = df.join(first, _null_safe(df, [key, *order_by], names), "left")
+    return joined.withColumn(name, flag).drop("_is_first", *names)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import digits
@@ -46,8 +46,10 @@ def nps_by_delay(matched: DataFrame, score: Column | str, delay: str = "dias_atr
     """NPS per day late, and the points lost against on-time deliveries (A10). At most ten rows."""
     score = F.col(score) if isinstance(score, str) else score
     out = matched.groupBy(delay_bucket(delay).alias("tramo_atraso")).agg(*nps_columns(score, shift))
-    on_time = matched.filter(F.col(delay) <= 0).agg(nps_columns(score, shift)[-1].alias("nps_a_tiempo")).scalar()
-    return out.withColumn("puntos_perdidos", F.round(on_time - F.col("nps"), 4))
+    # One window over the ten rows of the result, so that the match runs once.
+    every = Window.partitionBy(F.lit(0))
+    on_time = F.max(F.when(F.col("tramo_atraso") == 0, F.col("nps"))).over(every)
+    return out.withColumn("puntos_perdidos", on_time - F.col("nps"))
 
 
 def fragmentation_effect(lines: DataFrame, key: str, delivered: str, score: str) -> DataFrame:
@@ -59,5 +61,5 @@ def fragmentation_effect(lines: DataFrame, key: str, delivered: str, score: str)
         (F.min(delivered) < F.max(delivered)).alias("fragmentado"), F.max(score).alias("_score")
     )
     return orders.groupBy(F.coalesce("fragmentado", F.lit(False)).alias("fragmentado")).agg(
-        F.count(F.lit(1)).alias("ordenes"), F.round(F.avg("_score"), 6).alias("csat")
+        F.count(F.lit(1)).alias("ordenes"), F.avg("_score").alias("csat")
     )

@@ -120,7 +120,10 @@ def consolidate_orders(
     bad = F.count_if(F.col(quantity).isNull() | F.col(price).isNull())
     facts = [F.sum(amount).alias("_total"), first.alias("_first"), bad.alias("_bad"), F.count(F.lit(1)).alias("_n")]
 
-    large = lines.groupBy(F.col(key).alias("_large_key")).agg(*facts).filter(F.col("_n") > nested_lines)
+    # Counting reads the key only; the facts of large orders are partial aggregates.
+    counted = lines.groupBy(F.col(key).alias("_large_key")).agg(F.count(F.lit(1)).alias("_n"))
+    large_keys = F.broadcast(counted.filter(F.col("_n") > nested_lines).select("_large_key"))
+    large = lines.join(large_keys, F.col(key) == F.col("_large_key")).groupBy("_large_key").agg(*facts)
     large = large.select("_large_key", F.struct("_total", "_first", "_bad", "_n").alias("_large"))
     parts = F.coalesce(F.ceil(F.col("_large._n") / nested_lines), F.lit(1))
     spread = F.when(F.col("_large").isNotNull(), F.pmod(F.xxhash64(*lines.columns), parts)).otherwise(F.lit(0))

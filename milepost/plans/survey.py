@@ -121,7 +121,7 @@ def till_of_survey(surveys: DataFrame, report: DataFrame, terminals: DataFrame,
         .groupBy("num_documento")
         .agg(F.max(F.coalesce("_mobile", F.lit(False))).alias("_mobile"))
     )
-    out = enrich(surveys, mobile, [(document, "num_documento")], ["_mobile"], order_by=["_mobile desc"])
+    out = enrich(surveys, mobile, [(document, "num_documento")], ["_mobile"], expect="unique", spread=True)
     return out.withColumn("SCO_Trx", labels.till_class(document, F.coalesce("_mobile", F.lit(False)))).drop("_mobile")
 
 
@@ -135,7 +135,8 @@ def survey_mart(tables: Mapping[str, DataFrame], **base) -> DataFrame:
     first, while rows are narrowest after the scan's own columns.
     """
     t = tables
-    out = survey_base(t["surveys"], **base).distinct()
+    # Hashed by survey: distinct and the two joins below need no further shuffle.
+    out = survey_base(t["surveys"], **base).repartition("a_surveyid").distinct()
     out = enrich(out, t["ces"].withColumn("surveyid_ces", F.col("a_surveyid")), [("a_surveyid", "a_surveyid")],
                  ["surveyid_ces", "sales_margin_dt", "customer_ces_dt", "ces_level_val"], spread=False, what="ces")
     out = enrich(out, t["money"], [("a_surveyid", "id")], MONEY_COLUMNS, spread=False, what="money")
@@ -205,7 +206,7 @@ def nps_columns(score: Column, shift: int = 0) -> list[Column]:
         promoters.alias("promotores"),
         neutrals.alias("neutros"),
         detractors.alias("detractores"),
-        F.when(answers > 0, F.round(100.0 * (promoters - detractors) / answers, 4)).alias("nps"),
+        F.when(answers > 0, 100.0 * (promoters - detractors) / answers).alias("nps"),
     ]
 
 
@@ -218,4 +219,4 @@ def nps_by(
     if plan:
         cols.append(F.max(plan).alias("plan"))
     out = mart.groupBy(*dims).agg(*cols)
-    return out.withColumn("brecha_plan", F.round(F.col("nps") - F.col("plan"), 4)) if plan else out
+    return out.withColumn("brecha_plan", F.col("nps") - F.col("plan")) if plan else out
