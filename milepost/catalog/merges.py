@@ -131,16 +131,13 @@ def stream_latest(t):
     return read_version(t.spark, out, t.events.schema)
 
 
-@query("stream_append_new", """
-    SELECT event_id, user_id, event_type FROM events
-    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1
-""")
+@query("stream_append_new", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_append_new(t):
     out, done = scratch_path(t.spark, "log"), scratch_path(t.spark, "log-progress")
     keyed = _event_stream(t, "events").withColumn("clave", F.concat_ws("/", "user_id", "event_type"))
     order = [F.col("ts").asc(), F.col("event_id").asc()]
     micro.stream_append_new(keyed, out, "clave", done, order_by=order).awaitTermination()
-    return t.spark.read.parquet(out).select("event_id", "user_id", "event_type")
+    return t.spark.read.parquet(out).select("user_id", "event_type")
 
 
 @query("stream_coordinates", """

@@ -41,9 +41,15 @@ def missing_coord(lat: Column | str, lng: Column | str) -> Column:
     return missing(lat) | missing(lng)
 
 
+def round_at(c: Column | str, decimals: int) -> Column:
+    """Round the binary value, as a scaled integer: the written digits may show a tie that it is not."""
+    scale = float(10**decimals)
+    return F.round(col(c) * scale, 0) / scale
+
+
 def coord(c: Column | str) -> Column:
     """One axis as a number with seven decimals; NULL for text that is no number."""
-    return F.round(parse_number(F.translate(col(c).cast("string"), ",", ".")), 7)
+    return round_at(parse_number(F.translate(col(c).cast("string"), ",", ".")), 7)
 
 
 def clean_coords(lat: Column | str, lng: Column | str) -> tuple[Column, Column]:
@@ -56,7 +62,7 @@ def clean_coords(lat: Column | str, lng: Column | str) -> tuple[Column, Column]:
 def dispatch_precision(c: Column | str) -> Column:
     """Six decimals; a value with two decimals or fewer is nudged so that it carries more."""
     c = col(c)
-    return F.round(F.when(F.round(c, 2) == c, c + F.lit(0.000001)).otherwise(c), 6)
+    return round_at(F.when(round_at(c, 2) == c, c + F.lit(0.000001)).otherwise(c), 6)
 
 
 def geocode_text(address: Column | str, district: Column | str, city: Column | str) -> Column:
