@@ -43,7 +43,7 @@ def events(t):
 
 
 def header(t):
-    out = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], ["c_name", "c_acctbal", "c_nationkey", "c_mktsegment"])
+    out = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], ["c_name", "c_acctbal", "c_nationkey", "c_mktsegment"], expect="unique")
     return out.select(
         F.col("o_orderkey").alias("NUM_RESERVA"),
         F.col("c_name").alias("NOMBRE_CLI"),
@@ -95,7 +95,7 @@ def lines(t):
     FROM l GROUP BY r
 """)
 def orders(t):
-    rows = enrich(t.lineitem, t.part, [("l_partkey", "p_partkey")], ["p_name"]).select(
+    rows = enrich(t.lineitem, t.part, [("l_partkey", "p_partkey")], ["p_name"], expect="unique").select(
         text("l_orderkey").alias("NUM_RESERVA"), F.col("l_shipdate").alias("FECHA_PROCESO"),
         F.concat(text("l_orderkey"), F.lit("_"), text("l_partkey")).alias("KEY"), "l_linenumber",
         F.col("l_quantity").alias("CANTIDAD"), F.col("l_extendedprice").alias("PRECIO"),
@@ -113,7 +113,7 @@ def orders(t):
 def order_table(t):
     """Consolidated orders with client data; one product each."""
     k = F.col("o_orderkey")
-    out = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], ["c_name", "c_acctbal", "c_nationkey", "c_mktsegment"])
+    out = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], ["c_name", "c_acctbal", "c_nationkey", "c_mktsegment"], expect="unique")
     product = F.concat(
         F.lit('[{"sku":" A '), text("o_custkey"), F.lit(' ","nombre":"x ","cantidad":2.0,"precio":'), text("c_acctbal"),
         F.lit('},{"sku":"  ","nombre":"y","cantidad":1.0,"precio":1.0}]'),

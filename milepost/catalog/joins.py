@@ -94,7 +94,7 @@ def star(t):
     ])
     roles = {"cliente": "c_nationkey", "proveedor": "s_nationkey"}
     out = role_join(out, t.nation, "n_nationkey", roles, ["n_name", "n_regionkey"])
-    out = enrich(out, t.region, [("cliente_n_regionkey", "r_regionkey")], {"r_name": "cliente_r_name"})
+    out = enrich(out, t.region, [("cliente_n_regionkey", "r_regionkey")], {"r_name": "cliente_r_name"}, expect="unique")
     return out.select("l_orderkey", "l_partkey", "l_linenumber", "c_mktsegment", "cliente_n_name", "proveedor_n_name",
                       "cliente_r_name")
 
@@ -107,7 +107,7 @@ def star(t):
     SELECT o_orderkey, llave, meta / 10 AS plan FROM o LEFT JOIN p ON llave = k
 """)
 def composite_key_plan(t):
-    o = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], ["c_mktsegment"]).select(
+    o = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], ["c_mktsegment"], expect="unique").select(
         "o_orderkey", "o_orderstatus", "o_totalprice",
         labels.plan_key("c_mktsegment", F.month("o_orderdate"), F.year("o_orderdate")).alias("llave"),
     )
@@ -179,7 +179,7 @@ def enrich_latest(t):
         t.orders.select("o_orderkey"), t.lineitem, [("o_orderkey", "l_orderkey")], ["l_partkey", "l_shipdate"],
         order_by=["l_shipdate desc", "l_partkey desc"], spread=False,
     )
-    out = enrich(out, t.part, [("l_partkey", "p_partkey")], ["p_type"])
+    out = enrich(out, t.part, [("l_partkey", "p_partkey")], ["p_type"], expect="unique")
     kinds = t.part.filter(F.col("p_size") < 40).groupBy(F.lower("p_type").alias("tipo")).agg(
         F.count(F.lit(1)).alias("piezas")
     )
@@ -202,8 +202,8 @@ def enrich_latest(t):
     FROM c
 """)
 def split_dims(t):
-    c = enrich(t.customer, t.nation, [("c_nationkey", "n_nationkey")], ["n_name", "n_regionkey"])
-    c = enrich(c, t.region, [("n_regionkey", "r_regionkey")], ["r_name"])
+    c = enrich(t.customer, t.nation, [("c_nationkey", "n_nationkey")], ["n_name", "n_regionkey"], expect="unique")
+    c = enrich(c, t.region, [("n_regionkey", "r_regionkey")], ["r_name"], expect="unique")
     code = F.concat(F.col("c_nationkey").cast("string"), F.lit(" - "), F.col("n_name"))
     third = F.col("c_custkey") % 3
     c = c.withColumns({
@@ -264,7 +264,7 @@ def open_slots(t):
 """)
 def survey_filters(t):
     done = t.orders.filter((F.col("o_orderstatus") == "F") & in_years("o_orderdate", [1997, 1998, 2000]))
-    out = enrich(done, t.customer, [("o_custkey", "c_custkey")], ["c_mktsegment"])
+    out = enrich(done, t.customer, [("o_custkey", "c_custkey")], ["c_mktsegment"], expect="unique")
     out = out.filter(F.col("c_mktsegment") == "BUILDING").na.drop("any", subset=["o_totalprice"])
     return out.select(
         F.col("o_orderkey").alias("encuesta"),
@@ -410,7 +410,7 @@ def document_match(t):
 """)
 def survey_delivery_match(t):
     surveys = t.orders.select("o_orderkey", F.concat(F.lit("B-000"), F.col("o_orderkey").cast("string")).alias("doc"))
-    lines = enrich(t.lineitem, t.orders, [("l_orderkey", "o_orderkey")], ["o_orderdate"]).select(
+    lines = enrich(t.lineitem, t.orders, [("l_orderkey", "o_orderkey")], ["o_orderdate"], expect="unique").select(
         "l_partkey", "l_suppkey", "l_shipdate", "o_orderdate",
         F.concat(F.lit("Boleta N. "), F.col("l_orderkey").cast("string")).alias("line_doc"),
     )

@@ -216,8 +216,8 @@ def mart(t):
 
 def served_lines(t):
     """Order lines as services: requested, scheduled, finished and promised."""
-    lines = enrich(t.lineitem, t.orders, [("l_orderkey", "o_orderkey")], ["o_orderdate", "o_custkey", "o_orderpriority"])
-    lines = enrich(lines, t.customer, [("o_custkey", "c_custkey")], ["c_mktsegment"])
+    lines = enrich(t.lineitem, t.orders, [("l_orderkey", "o_orderkey")], ["o_orderdate", "o_custkey", "o_orderpriority"], expect="unique")
+    lines = enrich(lines, t.customer, [("o_custkey", "c_custkey")], ["c_mktsegment"], expect="unique")
     day = F.col("o_orderdate")
     return lines.select(
         "l_suppkey", "c_mktsegment", "o_orderpriority",

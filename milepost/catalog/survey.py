@@ -185,7 +185,7 @@ _NPS = """
     SELECT *, nps - plan AS brecha_plan FROM r
 """)
 def nps_by_segment(t):
-    answers = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], ["c_mktsegment", "c_nationkey"]).withColumns(
+    answers = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], ["c_mktsegment", "c_nationkey"], expect="unique").withColumns(
         {"mes": F.month("o_orderdate"), "meta": F.col("c_nationkey").cast("double")}
     )
     return survey.nps_by(answers, ["c_mktsegment", "mes"], F.col("o_orderkey") % 12, plan="meta")
@@ -201,7 +201,7 @@ def nps_by_segment(t):
 """)
 def nps_by_delay(t):
     surveys = t.orders.select("o_orderkey", text("o_orderkey").alias("doc"), (F.col("o_orderkey") % 11).alias("nota"))
-    lines = enrich(t.lineitem, t.orders, [("l_orderkey", "o_orderkey")], ["o_orderdate"]).withColumn(
+    lines = enrich(t.lineitem, t.orders, [("l_orderkey", "o_orderkey")], ["o_orderdate"], expect="unique").withColumn(
         "line_doc", text("l_orderkey")
     )
     matched = delivery.survey_deliveries(surveys, lines, "doc", "line_doc", "o_orderdate", "l_shipdate",
@@ -218,16 +218,16 @@ def nps_by_delay(t):
     LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2
 """)
 def nps_by_origin(t):
-    surveys = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], {"c_nationkey": "region"}).select(
+    surveys = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], {"c_nationkey": "region"}, expect="unique").select(
         "o_orderkey", text("o_orderkey").alias("doc"), (F.col("o_orderkey") % 11).alias("nota"), "region"
     )
-    lines = enrich(t.lineitem, t.orders, [("l_orderkey", "o_orderkey")], ["o_orderdate"]).withColumn(
+    lines = enrich(t.lineitem, t.orders, [("l_orderkey", "o_orderkey")], ["o_orderdate"], expect="unique").withColumn(
         "line_doc", text("l_orderkey")
     )
     matched = delivery.survey_deliveries(surveys, lines, "doc", "line_doc", "o_orderdate", "l_shipdate",
                                          ["l_partkey asc", "l_suppkey asc"], ["l_suppkey"])
-    matched = enrich(matched, t.supplier, [("l_suppkey", "s_suppkey")], ["s_nationkey"])
-    matched = enrich(matched, t.nation, [("s_nationkey", "n_nationkey")], {"n_name": "nodo"})
+    matched = enrich(matched, t.supplier, [("l_suppkey", "s_suppkey")], ["s_nationkey"], expect="unique")
+    matched = enrich(matched, t.nation, [("s_nationkey", "n_nationkey")], {"n_name": "nodo"}, expect="unique")
     return survey.nps_by(matched, ["nodo", "region"], "nota", shift=1)
 
 

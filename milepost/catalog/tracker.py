@@ -13,7 +13,7 @@ _DISTRICTS = ["VILLA EL SALVADOR", "LURIN", "COMAS", "OTRO", "ANCON"]
 
 
 def header(t):
-    out = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], ["c_acctbal", "c_nationkey", "c_name"])
+    out = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], ["c_acctbal", "c_nationkey", "c_name"], expect="unique")
     return out.select(
         F.col("o_orderkey").alias("NUM_RESERVA"),
         pick(_DISTRICTS, F.col("c_nationkey") % 5).alias("COMUNA_DESP"),
@@ -43,7 +43,7 @@ def without_coords(t):
 
 def lines(t):
     """Reservation lines with a client phone in several shapes."""
-    out = enrich(t.lineitem, t.orders, [("l_orderkey", "o_orderkey")], ["o_custkey", "o_orderpriority"])
+    out = enrich(t.lineitem, t.orders, [("l_orderkey", "o_orderkey")], ["o_custkey", "o_orderpriority"], expect="unique")
     phone = pick(["9", "+51 9", "8", "n/a"], F.col("o_custkey") % 4)
     digits = F.lpad(text("o_custkey"), 8, "4")
     return out.select(

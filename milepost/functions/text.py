@@ -41,7 +41,7 @@ def extract_some(c: Column | str, pattern: str, group: int = 1) -> Column:
 
 
 def digits(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), "[^0-9]", "")
+    return F.regexp_replace(col(c), "[^0-9]+", "")
 
 
 def part_at(c: Column | str, delimiter: str, index: int) -> Column:

@@ -21,18 +21,14 @@ Keys = Sequence[str | tuple[Column | str, Column | str]]
 def unique_on(df: DataFrame, keys: Sequence[str], what: str = "table") -> DataFrame:
     """The same rows, failing at run time when two share a key. Rows with a NULL key are dropped.
 
-    Partial aggregation counts per key; no window and no driver action.
+    The check is a scalar subquery over the key columns alone, with partial
+    aggregation; the rows themselves are not regrouped and go straight on.
     """
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*rest) if rest else F.struct(F.lit(1).alias("_one"))
-    out = df.na.drop("any", subset=list(keys)).groupBy(*keys).agg(
-        F.first(row).alias("_row"), F.count(F.lit(1)).alias("_n")
-    )
-    message = F.concat(F.lit(f"{what}: several rows for key "), F.to_json(F.struct(*keys)))
-    # The check is part of the key, so that no optimisation can drop it.
-    checked = [F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col(k)).alias(k) for k in keys]
-    picked = {k: c for k, c in zip(keys, checked)}
-    return out.select(*[picked[c] if c in picked else F.col("_row")[c].alias(c) for c in df.columns])
+    filled = df.na.drop("any", subset=list(keys))
+    repeated = filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    example = repeated.agg(F.min(F.to_json(F.struct(*keys)))).scalar()
+    message = F.concat(F.lit(f"{what}: several rows for key "), example)
+    return filled.filter(F.when(example.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order_by: Order | None, what: str = "table") -> DataFrame:
@@ -96,8 +92,8 @@ def enrich(
     where      filter on dim before the join (a constant residual in ON)
     cast       type both keys are safely cast to
     normalise  function Column -> Column applied to both keys
-    spread     see :func:`keyed_join`: by default for ``one``; False when the fact is
-               unique on the key, True for an aggregated side that is ``unique``
+    spread     see :func:`keyed_join`: by default with ``order_by``; False when the
+               fact is unique on the key, True for an aggregated ``unique`` side
     """
     if expect not in ("one", "unique", "many"):
         raise ValueError(f"expect must be 'one', 'unique' or 'many', not {expect!r}")
@@ -129,7 +125,7 @@ def enrich(
         slim = slim.drop(*[f"_o_{c}" for c in order_names])
     left_keys = [(keyed(left, fact), n) for (left, _), n in zip(pairs, names)]
     if spread is None:
-        spread = expect == "one"
+        spread = expect == "one" and order_by is not None
     out = keyed_join(fact, slim, left_keys, spread=spread).drop(*names, *clash.values())
     return out.withColumnsRenamed(clash) if clash else out
 

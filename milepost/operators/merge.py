@@ -3,7 +3,8 @@
 A file table has no ``MERGE INTO``; the caller writes the result as a new version
 (``sources.tables.write_version``) or, for inserts, appends ``new_rows``.
 Keys of the target are unique. Keys of the source are checked: ``on_dup="error"``
-fails on a repeated key, ``"latest"`` keeps the first row by ``order_by`` and
+fails on a repeated key, ``"latest"`` keeps the first row by ``order_by``,
+``"unique"`` trusts a source that has one row per key by construction, and
 ``"keep_all"`` lets inserts repeat.
 """
 
@@ -19,7 +20,7 @@ from .keyed import Order, latest_per_key
 
 
 def unique_source(src: DataFrame, keys: Sequence[str], on_dup: str = "error", order_by: Order | None = None) -> DataFrame:
-    if on_dup == "keep_all":
+    if on_dup in ("keep_all", "unique"):
         return src
     if on_dup == "latest":
         if not order_by:
@@ -34,8 +35,8 @@ def new_rows(
     target: DataFrame, src: DataFrame, keys: Sequence[str], on_dup: str = "error", order_by: Order | None = None
 ) -> DataFrame:
     """Source rows whose key is not in the target: what an insert-only merge appends (M1)."""
-    fresh = src.join(target.select(*keys), list(keys), "left_anti")
-    return unique_source(fresh, keys, on_dup, order_by).select(*src.columns)
+    src = unique_source(src, keys, on_dup, order_by)
+    return src.join(target.select(*keys), list(keys), "left_anti")
 
 
 def merge_insert(

@@ -14,7 +14,7 @@ from .survey import nps_columns
 
 def delivery_key(c: Column | str) -> Column:
     """Document reduced to its digits without leading zeros; NULL when it has none."""
-    return F.nullif(F.regexp_replace(digits(c), "^0+", ""), F.lit(""))
+    return F.nullif(F.ltrim(digits(c), F.lit("0")), F.lit(""))
 
 
 def survey_deliveries(

@@ -297,13 +297,15 @@ def dispatch_outbox(
 
 def update_sent_coords(orders: DataFrame, outbox: DataFrame) -> DataFrame:
     """Write the dispatched coordinates and the geocode flag back to the orders (M2)."""
-    src = outbox.select(
+    first = outbox.filter(F.col("PARTE") == 0) if "PARTE" in outbox.columns else outbox
+    src = first.select(
         F.col("NUM_RESERVA").cast("string").alias("NUM_RESERVA"),
         F.coalesce(F.col("lat").cast("string"), F.col("LATITUD").cast("string")).alias("LATITUD"),
         F.coalesce(F.col("lng").cast("string"), F.col("LONGITUD").cast("string")).alias("LONGITUD"),
         "FLAG_GEOCODIFICADO",
     )
-    return merge_update(orders, src, ["NUM_RESERVA"], ["LATITUD", "LONGITUD", "FLAG_GEOCODIFICADO"])
+    cols = ["LATITUD", "LONGITUD", "FLAG_GEOCODIFICADO"]
+    return merge_update(orders, src, ["NUM_RESERVA"], cols, on_dup="unique")
 
 
 def classify_sends(sends: DataFrame, keep_unreadable: bool = False) -> DataFrame:

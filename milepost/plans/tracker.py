@@ -171,7 +171,8 @@ def match_coordinates(
 
 def capture(sends: DataFrame, state: DataFrame, feed: DataFrame, as_of: AsOf, **options) -> DataFrame:
     """New content of the coordinates table after one capture run (B26 + M3)."""
-    return merge_upsert(state, match_coordinates(sends, state, feed, as_of, **options), ["NUM_RESERVA"])
+    answered = match_coordinates(sends, state, feed, as_of, **options)
+    return merge_upsert(state, answered, ["NUM_RESERVA"], on_dup="unique")
 
 
 def new_alerts(coords: DataFrame, lines: DataFrame, alerts: DataFrame, as_of: AsOf) -> DataFrame:

@@ -18,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.dates import AsOf
 from ..operators.joins import not_in_history
 from ..operators.keyed import Order, latest_per_key
-from ..operators.merge import merge_upsert
 from ..plans import tracker
 from ..sources.schemas import COORDINATES
 from ..sources.tables import path_exists, read_version, write_version
@@ -75,8 +74,7 @@ def stream_coordinates(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         state = read_version(batch.sparkSession, path, COORDINATES, before=batch_id)
-        answered = tracker.match_coordinates(sends, state, batch, as_of, **options)
-        write_version(merge_upsert(state, answered, ["NUM_RESERVA"]), path, batch_id)
+        write_version(tracker.capture(sends, state, batch, as_of, **options), path, batch_id)
 
     return _start(feed, step, checkpoint, trigger)
 
