@@ -72,7 +72,9 @@ def one_repeated_char(c: Column | str) -> Column:
 
 def key_text(c: Column | str) -> Column:
     """Key as trimmed text; an integral double or decimal loses its fraction (``12.0`` -> ``12``)."""
-    return F.regexp_replace(strip(col(c).cast("string")), r"^(-?[0-9]+)\.0+\z", "$1")
+    raw = col(c).cast("string")
+    # Few keys carry a fraction: only those pay for the regex.
+    return F.when(raw.contains(".0"), F.regexp_replace(strip(raw), r"^(-?[0-9]+)\.0+\z", "$1")).otherwise(strip(raw))
 
 
 def line_key(reservation: Column | str, item: Column | str, trim: bool = True) -> Column:
