@@ -2,6 +2,12 @@
 
 A file table has no ``MERGE INTO``; the caller writes the result as a new version
 (``sources.tables.write_version``) or, for inserts, appends ``new_rows``.
+A merge is a left join of the target to the source and a union of the source rows
+that found no match. So a source small enough to broadcast moves no target row over
+the network, where a full outer join would shuffle the whole target; and with a
+large one, skewed partitions of the target can still be split. The source is read
+several times: stage it first (``session.written``) when it is costly to compute.
+
 Keys of the target are unique. Keys of the source are checked: ``on_dup="error"``
 fails on a repeated key, ``"latest"`` keeps the first row by ``order_by``,
 ``"unique"`` trusts a source that has one row per key by construction, and
@@ -35,8 +41,13 @@ def new_rows(
     target: DataFrame, src: DataFrame, keys: Sequence[str], on_dup: str = "error", order_by: Order | None = None
 ) -> DataFrame:
     """Source rows whose key is not in the target: what an insert-only merge appends (M1)."""
-    src = unique_source(src, keys, on_dup, order_by)
-    return src.join(target.select(*keys), list(keys), "left_anti")
+    return _unmatched(target, unique_source(src, keys, on_dup, order_by), keys)
+
+
+def _unmatched(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows without a target row: of the target only the keys found in the source are kept."""
+    matched = target.select(*keys).join(src.select(*keys), list(keys), "left_semi")
+    return src.join(matched, list(keys), "left_anti")
 
 
 def merge_insert(
@@ -93,24 +104,21 @@ def merge_upsert(
     """
     on_insert, on_update = dict(on_insert or {}), dict(on_update or {})
     cols = list(cols) if cols is not None else [c for c in src.columns if c not in keys]
-    src = _source(unique_source(src, keys, on_dup, order_by), keys)
-    tgt = target.select(F.struct(*target.columns).alias("_t"))
-    test = None
-    for k in keys:
-        part = F.col("_t")[k] == F.col(f"_s_{k}")
-        test = part if test is None else test & part
-    joined = tgt.join(src, test, "full_outer")
-    t, s = F.col("_t"), F.col("_s")
-    kept, inserted = s.isNull(), t.isNull()
+    src = unique_source(src, keys, on_dup, order_by)
+    joined = target.join(_source(src, keys), _same_key(target, keys), "left")
+    s, matched = F.col("_s"), F.col("_s").isNotNull()
 
-    def value(c):
-        if c in keys:
-            return F.coalesce(t[c], s[c])
-        update = on_update.get(c, s[c] if c in cols else t[c])
-        insert = on_insert.get(c, s[c] if c in cols else F.lit(None))
-        return F.when(kept, t[c]).when(inserted, insert).otherwise(update)
+    def updated(c):
+        new = on_update.get(c, s[c] if c in cols and c not in keys else None)
+        return target[c] if new is None else F.when(matched, new).otherwise(target[c])
 
-    return joined.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    def inserted(c):
+        return on_insert.get(c, F.col(c) if c in cols or c in keys else F.lit(None))
+
+    fields = target.schema.fields
+    kept = joined.select(*[updated(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    fresh = _unmatched(target, src, keys).select(*[inserted(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    return kept.unionByName(fresh)
 
 
 def merge_actions(
@@ -127,23 +135,20 @@ def merge_actions(
     keep / update (hash differs) / insert / delete (missing from the source and
     inside ``delete_where``, a condition on target columns).
     """
-    src = _source(unique_source(src, keys, on_dup, order_by), keys)
-    marked = target.withColumn("_in_window", F.coalesce(delete_where, F.lit(False)))
-    joined = marked.join(src, _same_key(marked, keys), "full_outer")
+    src = unique_source(src, keys, on_dup, order_by)
+    joined = target.join(_source(src, keys), _same_key(target, keys), "left")
     s = F.col("_s")
-    in_target = F.col("_in_window").isNotNull()
     action = (
-        F.when(~in_target, "insert")
-        .when(s.isNull() & F.col("_in_window"), "delete")
-        .when(s.isNull(), "keep")
-        .when(marked[hash_col] != s[hash_col], "update")
+        F.when(s.isNull() & F.coalesce(delete_where, F.lit(False)), "delete")
+        .when(target[hash_col] != s[hash_col], "update")
         .otherwise("keep")
     )
     joined = joined.withColumn("_action", action)
-    from_source = F.col("_action").isin("insert", "update")
-    return joined.select(
-        *[F.when(from_source, s[c]).otherwise(marked[c]).alias(c) for c in target.columns], "_action"
-    )
+    updated = F.col("_action") == "update"
+    columns = target.columns
+    known = joined.select(*[F.when(updated, s[c]).otherwise(target[c]).alias(c) for c in columns], "_action")
+    fresh = _unmatched(target, src, keys).select(*columns, F.lit("insert").alias("_action"))
+    return known.unionByName(fresh)
 
 
 def merge_sync(

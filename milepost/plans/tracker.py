@@ -15,6 +15,7 @@ from ..operators.joins import enrich, enrich_distinct, in_history, not_in_histor
 from ..operators.keyed import dedupe, earliest_per_key, latest_per_key
 from ..operators.merge import merge_upsert
 from ..operators.quality import split_valid, union_by_name
+from ..session import written
 
 ALERT_COLUMNS = (
     "NUM_RESERVA", "NOMBRE", "FONO_CLI", "REGION_DESP", "CIUDAD_DESP", "COMUNA_DESP", "DIRECCION_DESP",
@@ -170,8 +171,8 @@ def match_coordinates(
 
 
 def capture(sends: DataFrame, state: DataFrame, feed: DataFrame, as_of: AsOf, **options) -> DataFrame:
-    """New content of the coordinates table after one capture run (B26 + M3)."""
-    answered = match_coordinates(sends, state, feed, as_of, **options)
+    """New content of the coordinates table after one capture run (B26 + M3); the answers are staged first."""
+    answered = written(match_coordinates(sends, state, feed, as_of, **options), "answers")
     return merge_upsert(state, answered, ["NUM_RESERVA"], on_dup="unique")
 
 
