@@ -2,11 +2,11 @@
 
 A file table has no ``MERGE INTO``; the caller writes the result as a new version
 (``sources.tables.write_version``) or, for inserts, appends ``new_rows``.
-A merge is a left join of the target to the source and a union of the source rows
-that found no match. So a source small enough to broadcast moves no target row over
-the network, where a full outer join would shuffle the whole target; and with a
-large one, skewed partitions of the target can still be split. The source is read
-several times: stage it first (``session.written``) when it is costly to compute.
+Target and source meet in one full outer join, so that both are read once. With
+``stored_source`` (the source is a stored table, cheap to read again) and a size that
+Spark knows to be small enough to broadcast, the source is left-joined to the target
+instead and its unmatched rows are added: no target row moves over the network. The
+result is the same.
 
 Keys of the target are unique. Keys of the source are checked: ``on_dup="error"``
 fails on a repeated key, ``"latest"`` keeps the first row by ``order_by``,
@@ -57,18 +57,29 @@ def merge_insert(
 
 
 def _source(src: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return src.select(
-        *[F.col(k).alias(f"_s_{k}") for k in keys],
-        F.struct(*[c for c in src.columns]).alias("_s"),
-    )
+    return src.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.struct(*src.columns).alias("_s"))
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether Spark's own estimate lets the frame be broadcast; an unknown size counts as large."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
 
 
-def _same_key(target: DataFrame, keys: Sequence[str]) -> Column:
+def _pairs(target: DataFrame, src: DataFrame, keys: Sequence[str], stored_source: bool) -> DataFrame:
+    """Structs ``_t`` and ``_s`` of matching rows; one of them is NULL where there is no match."""
+    old = target.select(F.struct(*target.columns).alias("_t"))
     test = None
     for k in keys:
-        part = target[k] == F.col(f"_s_{k}")
+        part = F.col("_t")[k] == F.col(f"_s_{k}")
         test = part if test is None else test & part
-    return test
+    how = "left" if stored_source and is_small(src) else "full_outer"
+    paired = old.join(_source(src, keys), test, how).select("_t", "_s")
+    if how == "full_outer":
+        return paired
+    nothing = F.lit(None).cast(old.schema["_t"].dataType).alias("_t")
+    return paired.unionByName(_unmatched(target, src, keys).select(nothing, F.struct(*src.columns).alias("_s")))
 
 
 def merge_update(
@@ -76,11 +87,16 @@ def merge_update(
     order_by: Order | None = None,
 ) -> DataFrame:
     """Overwrite ``cols`` where the key matches; no inserts (M2)."""
-    src = _source(unique_source(src, keys, on_dup, order_by), keys)
-    joined = target.join(src, _same_key(target, keys), "left")
+    source = unique_source(src, keys, on_dup, order_by)
+    test = None
+    for k in keys:
+        part = target[k] == F.col(f"_s_{k}")
+        test = part if test is None else test & part
+    joined = target.join(_source(source, keys), test, "left")
+    new = F.col("_s")
     return joined.select(
         *[
-            F.when(F.col("_s").isNotNull(), F.col("_s")[c]).otherwise(target[c]).alias(c) if c in cols else target[c]
+            F.when(new.isNotNull(), new[c]).otherwise(target[c]).alias(c) if c in cols else target[c]
             for c in target.columns
         ]
     )
@@ -95,6 +111,7 @@ def merge_upsert(
     on_update: Mapping[str, Column] | None = None,
     on_dup: str = "error",
     order_by: Order | None = None,
+    stored_source: bool = False,
 ) -> DataFrame:
     """Update matched rows, insert the others (M3).
 
@@ -104,21 +121,17 @@ def merge_upsert(
     """
     on_insert, on_update = dict(on_insert or {}), dict(on_update or {})
     cols = list(cols) if cols is not None else [c for c in src.columns if c not in keys]
-    src = unique_source(src, keys, on_dup, order_by)
-    joined = target.join(_source(src, keys), _same_key(target, keys), "left")
-    s, matched = F.col("_s"), F.col("_s").isNotNull()
-
-    def updated(c):
-        new = on_update.get(c, s[c] if c in cols and c not in keys else None)
-        return target[c] if new is None else F.when(matched, new).otherwise(target[c])
+    paired = _pairs(target, unique_source(src, keys, on_dup, order_by), keys, stored_source)
+    t, s = F.col("_t"), F.col("_s")
 
-    def inserted(c):
-        return on_insert.get(c, F.col(c) if c in cols or c in keys else F.lit(None))
+    def value(c):
+        if c in keys:
+            return F.coalesce(t[c], s[c])
+        update = on_update.get(c, s[c] if c in cols else t[c])
+        insert = on_insert.get(c, s[c] if c in cols else F.lit(None))
+        return F.when(s.isNull(), t[c]).when(t.isNull(), insert).otherwise(update)
 
-    fields = target.schema.fields
-    kept = joined.select(*[updated(f.name).cast(f.dataType).alias(f.name) for f in fields])
-    fresh = _unmatched(target, src, keys).select(*[inserted(f.name).cast(f.dataType).alias(f.name) for f in fields])
-    return kept.unionByName(fresh)
+    return paired.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
 
 
 def merge_actions(
@@ -129,26 +142,26 @@ def merge_actions(
     delete_where: Column,
     on_dup: str = "error",
     order_by: Order | None = None,
+    stored_source: bool = False,
 ) -> DataFrame:
     """Full comparison of target and source: every row with its ``_action`` (M4).
 
     keep / update (hash differs) / insert / delete (missing from the source and
     inside ``delete_where``, a condition on target columns).
     """
-    src = unique_source(src, keys, on_dup, order_by)
-    joined = target.join(_source(src, keys), _same_key(target, keys), "left")
-    s = F.col("_s")
+    columns = target.columns
+    marked = target.withColumn("_in_window", F.coalesce(delete_where, F.lit(False)))
+    paired = _pairs(marked, unique_source(src, keys, on_dup, order_by), keys, stored_source)
+    t, s = F.col("_t"), F.col("_s")
     action = (
-        F.when(s.isNull() & F.coalesce(delete_where, F.lit(False)), "delete")
-        .when(target[hash_col] != s[hash_col], "update")
+        F.when(t.isNull(), "insert")
+        .when(s.isNull() & t["_in_window"], "delete")
+        .when(t[hash_col] != s[hash_col], "update")
         .otherwise("keep")
     )
-    joined = joined.withColumn("_action", action)
-    updated = F.col("_action") == "update"
-    columns = target.columns
-    known = joined.select(*[F.when(updated, s[c]).otherwise(target[c]).alias(c) for c in columns], "_action")
-    fresh = _unmatched(target, src, keys).select(*columns, F.lit("insert").alias("_action"))
-    return known.unionByName(fresh)
+    paired = paired.withColumn("_action", action)
+    from_source = F.col("_action").isin("insert", "update")
+    return paired.select(*[F.when(from_source, s[c]).otherwise(t[c]).alias(c) for c in columns], "_action")
 
 
 def merge_sync(
@@ -159,7 +172,8 @@ def merge_sync(
     delete_where: Column,
     on_dup: str = "error",
     order_by: Order | None = None,
+    stored_source: bool = False,
 ) -> DataFrame:
     """Hash-guarded sync with a windowed delete (M4)."""
-    out = merge_actions(target, src, keys, hash_col, delete_where, on_dup, order_by)
+    out = merge_actions(target, src, keys, hash_col, delete_where, on_dup, order_by, stored_source)
     return out.filter(F.col("_action") != "delete").drop("_action")

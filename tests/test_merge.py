@@ -63,3 +63,27 @@ def test_repeated_source_keys(spark, target):
     assert merge.merge_insert(target, twice, ["k"], on_dup="keep_all").count() == 6
     with pytest.raises(ValueError):
         merge.merge_insert(target, twice, ["k"], on_dup="latest")
+
+
+def test_small_and_large_sources_agree(spark, target, source, rows, tmp_path):
+    """Pairing by broadcast and by full outer join gives the same rows."""
+    source.write.parquet(str(tmp_path / "source"))
+    source = spark.read.parquet(str(tmp_path / "source"))
+
+    def every():
+        return [
+            rows(merge.merge_upsert(target, source, ["k"], stored_source=True)),
+            rows(merge.merge_actions(target, source, ["k"], "h", F.col("day") >= 10, stored_source=True)),
+        ]
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    saved = spark.conf.get(key)
+    spark.conf.set(key, str(1 << 40))
+    try:
+        assert merge.is_small(source)
+        small = every()
+        spark.conf.set(key, "-1")
+        assert not merge.is_small(source)
+        assert every() == small
+    finally:
+        spark.conf.set(key, saved)

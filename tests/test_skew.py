@@ -66,6 +66,6 @@ def test_history(spark, small_limits):
 def test_small_merge_source_moves_no_target_row(spark):
     target = spark.range(0, 1000, 1, 4).select(F.col("id").alias("k"), F.lit("x").alias("v"))
     src = spark.range(990, 1010, 1, 1).select(F.col("id").alias("k"), F.lit("y").alias("v"))
-    out = merge_upsert(target, src, ["k"], on_dup="unique")
+    out = merge_upsert(target, src, ["k"], on_dup="unique", stored_source=True)
     assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.count() == 1010 and out.filter("v = 'y'").count() == 20
