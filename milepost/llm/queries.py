@@ -62,6 +62,22 @@ def op1(spark, folder):
     return token_counts(load(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query("op5_near_duplicates")
+def op5(spark, folder):
+    """Near-duplicate classes of documents: two-word shingles, similarity of 0.8 or more."""
+    from .near_dup import near_duplicates
+
+    return near_duplicates(load(spark, folder, "documents"), width=2, percent=80)
+
+
+@query("op6_suffix_dedup")
+def op6(spark, folder):
+    """Documents without the byte strings of 400 bytes that occur twice."""
+    from . import suffix_dedup
+
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(load(spark, folder, "documents").select("doc_id", "text"), 400))
+
+
 @query("op7_sharding")
 def op7(spark, folder):
     """Shard and slot of every document."""
