@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure
 from ..sources.tables import load
+from . import decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -62,6 +63,12 @@ def op1(spark, folder):
     return token_counts(load(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query("op4_decontamination", decontaminate.oracle())
+def op4(spark, folder):
+    """Words of every document that lie inside ten-word windows of benchmark items."""
+    return decontaminate.contamination(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
 @query("op5_near_duplicates")
 def op5(spark, folder):
     """Near-duplicate classes of documents: two-word shingles, similarity of 0.8 or more."""
