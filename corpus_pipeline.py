@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.llm import langid, pieces
+from milepost.llm import decontaminate, langid, near_dup, pieces, suffix_dedup
 from milepost.llm.queries import prepared, tokenizer
 from milepost.session import written
 
@@ -20,6 +20,27 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(F.col("lang_pred") != langid.UND).select(*COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each class: five-word shingles, similarity of 0.8 or more."""
+    prepared(spark)
+    found = near_dup.near_duplicates(docs.select("doc_id", "text"), width=5, percent=80)
+    return docs.select(*COLUMNS).join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut the byte strings of 400 bytes that occur twice out of every text; every document stays."""
+    prepared(spark)
+    kept = suffix_dedup.remove_repeats(docs.select(*COLUMNS), 400, as_text=True).withColumn("text", F.col("kept"))
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold ten consecutive words of a benchmark item, or a whole shorter item."""
+    prepared(spark)
+    found = decontaminate.contamination(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.select(*COLUMNS).join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Add the piece ids of every text; a text that its ids don't give back goes on by its decoded form."""
     prepared(spark)
@@ -28,7 +49,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return both.withColumn("text", F.col("decoded")).select(*COLUMNS, "piece_ids")
 
 
-STAGES = [("language ID", language), ("SentencePiece", tokens)]
+STAGES = [
+    ("language ID", language),
+    ("MinHash near-dedup", near_duplicates),
+    ("suffix-array dedup", repeats),
+    ("benchmark decontamination", decontamination),
+    ("SentencePiece", tokens),
+]
 
 #: Language models, tokenizers and components by hashing can't be said in SQL.
 ORACLE_SQL = None

@@ -55,10 +55,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.n
             if n >= width:
                 out.append(np.unique(grams[at[row] : at[row + 1] - width + 1]))
             elif n:
-                short = U64(n)
-                for w in words[at[row] : at[row + 1]]:
-                    short = ragged.mix(np.array([short * U64(0xA0761D6478BD642F) + w], U64))[0]
-                out.append(np.array([short], U64))
+                short = np.array([n], U64)
+                for i in range(at[row], at[row + 1]):
+                    short = ragged.mix(short * U64(0xA0761D6478BD642F) + words[i])
+                out.append(short)
             else:
                 out.append(np.zeros(0, U64))
     return out

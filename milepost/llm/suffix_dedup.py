@@ -31,9 +31,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import written
 from . import ragged
+from .pieces import added
 
 GRAM = 64
 U64 = np.uint64
@@ -344,9 +346,10 @@ def _hot_spans(cuts: DataFrame, length: int) -> DataFrame:
     return out.select("id", "text_hash", (F.col("pos") - F.col("last")).alias("start"), (F.col("pos") - F.col("first") + length).alias("end"))
 
 
-def remove_repeats(df: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
     """The frame's rows with ``spans`` (removed runs, as byte ranges) and ``kept`` (remaining bytes).
 
+    With ``as_text`` kept is a string, without the parts of characters that a cut may leave.
     Columns of the input named spans, kept or text_hash are replaced or dropped.
     """
     base = df.drop("spans", "kept", "text_hash").withColumn("text_hash", F.xxhash64(F.coalesce(text_col, F.lit(""))))
@@ -355,6 +358,7 @@ def remove_repeats(df: DataFrame, length: int = 400, id_col: str = "doc_id", tex
     joined = base.join(found.withColumnsRenamed({"id": id_col}), [id_col, "text_hash"], "left").drop("text_hash")
     joined = joined.select(*df.drop("spans", "kept", "text_hash").columns, "spans").withColumn("kept", F.col(text_col).cast("binary"))
     names, n = joined.columns, len(joined.columns)
+    schema = added(joined, "kept", T.StringType() if as_text else T.BinaryType())
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         spans, kept = [], []
@@ -370,12 +374,13 @@ def remove_repeats(df: DataFrame, length: int = 400, id_col: str = "doc_id", tex
             for s, e in merged:
                 parts.append(raw[at:s])
                 at = e
-            kept.append(b"".join([*parts, raw[at:]]))
+            rest = b"".join([*parts, raw[at:]])
+            kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
             spans.append([{"start": s, "end": e} for s, e in merged])
         kind = pa.list_(pa.struct([pa.field("start", pa.int64()), pa.field("end", pa.int64())]))
-        return pa.RecordBatch.from_arrays([*batch.columns[: n - 2], pa.array(spans, kind), pa.array(kept, pa.binary())], names)
+        return pa.RecordBatch.from_arrays([*batch.columns[: n - 2], pa.array(spans, kind), pa.array(kept, pa.string() if as_text else pa.binary())], names)
 
-    return ragged.map_batches(joined, lambda: cut, joined.schema)
+    return ragged.map_batches(joined, lambda: cut, schema)
 
 
 def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
