@@ -63,6 +63,14 @@ def op1(spark, folder):
     return token_counts(load(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query("op2_html_text")
+def op2(spark, folder):
+    """Main text of every page."""
+    from .html_text import main_text
+
+    return main_text(load(spark, folder, "pages"))
+
+
 @query("op4_decontamination", decontaminate.oracle())
 def op4(spark, folder):
     """Words of every document that lie inside ten-word windows of benchmark items."""
