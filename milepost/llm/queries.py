@@ -101,6 +101,14 @@ def op7(spark, folder):
     return shards(load(spark, folder, "documents"))
 
 
+@query("op8_lm_scoring")
+def op8(spark, folder):
+    """Log-likelihood of every document, learned from the nine tenths that are not held out."""
+    from .lm import log_likelihoods
+
+    return log_likelihoods(load(spark, folder, "documents"))
+
+
 @query("op9_language_id")
 def op9(spark, folder):
     """Language of every document, learned from the four fifths that are not held out."""
