@@ -39,8 +39,10 @@ HIDDEN, STEPS = 24, 32
 HEAD = 1 << 18
 WARM_ROWS = 512
 #: Documents that advance together in training and in scoring, and tokens that a task gathers before.
-LANES, SCORE_LANES, GATHERED = 192, 1024, 3_000_000
+LANES, SCORE_LANES, GATHERED = 320, 1024, 3_000_000
 ADD = 0.1
+#: Logits above it count as it, so that float32 exponentials and their sums stay finite.
+LARGEST = np.float32(60)
 END = ragged.mix(np.array([1], np.uint64))[0]
 BLOCK = 4096
 
@@ -163,8 +165,7 @@ class Gru:
     def log_probs(self, h: np.ndarray, y: np.ndarray, grads: Gru | None = None):
         """Natural log of the probability of entries y after states h; with grads, also their gradient to h."""
         cls, word = y // PER_CLASS, y % PER_CLASS
-        logits = h @ self.wc + self.bc
-        logits -= logits.max(1, keepdims=True)
+        logits = np.minimum(h @ self.wc + self.bc, LARGEST)
         e = np.exp(logits)
         total = e.sum(1)
         rows = np.arange(len(y))
@@ -181,8 +182,7 @@ class Gru:
         for c in np.flatnonzero(np.diff(ends)):
             i = order[ends[c] : ends[c + 1]]
             hi = h[i]
-            logits = hi @ self.wo[c] + self.bo[c]
-            logits -= logits.max(1, keepdims=True)
+            logits = np.minimum(hi @ self.wo[c] + self.bo[c], LARGEST)
             e = np.exp(logits)
             total = e.sum(1)
             k = np.arange(len(i))
@@ -209,6 +209,8 @@ class Gru:
             H, dafter = HIDDEN, np.zeros_like(after)
             dafter[mask] = back
             dh = np.zeros_like(h)
+            inputs = np.empty((*x.shape, 3 * H), np.float32)
+            recs = np.empty_like(inputs)
             for t in range(len(x) - 1, -1, -1):
                 dh = dh + dafter[t]
                 rz, n, un = saved[t]
@@ -218,9 +220,13 @@ class Gru:
                 dr = dn * un * r * (1 - r)
                 dg = np.concatenate((dr, dz, dn), 1)
                 du = np.concatenate((dr, dz, dn * r), 1)
-                np.add.at(grads.inp, x[t], dg)
-                grads.rec += states[t].T @ du
+                inputs[t], recs[t] = dg, du
                 dh = dh * z + du @ self.rec.T
+            flat, inputs = x.ravel(), inputs.reshape(-1, 3 * H)
+            grads.rec += states.reshape(-1, H).T @ recs.reshape(-1, 3 * H)
+            order = np.argsort(flat, kind="stable")
+            first = np.flatnonzero(np.concatenate(([True], np.diff(flat[order]) > 0)))
+            grads.inp[flat[order[first]]] += np.add.reduceat(inputs[order], first, axis=0)
         return logp, last
 
 
