@@ -71,6 +71,15 @@ def op2(spark, folder):
     return main_text(load(spark, folder, "pages"))
 
 
+@query("op3_topk_search")
+def op3(spark, folder):
+    """The ten best documents for every document whose id is divisible by 100."""
+    from .topk import search
+
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    return search(docs, docs.where(F.col("doc_id") % 100 == 0))
+
+
 @query("op4_decontamination", decontaminate.oracle())
 def op4(spark, folder):
     """Words of every document that lie inside ten-word windows of benchmark items."""
