@@ -81,6 +81,19 @@ def lines(t):
     )
 
 
+_ORDER = ["FECHA_PROCESO", "KEY", "l_linenumber", "CANTIDAD", "PRECIO"]
+
+
+def order_lines(t):
+    return enrich(t.lineitem, t.part, [("l_partkey", "p_partkey")], ["p_name"], expect="unique").select(
+        text("l_orderkey").alias("NUM_RESERVA"), F.col("l_shipdate").alias("FECHA_PROCESO"),
+        F.concat(text("l_orderkey"), F.lit("_"), text("l_partkey")).alias("KEY"), "l_linenumber",
+        F.col("l_quantity").alias("CANTIDAD"), F.col("l_extendedprice").alias("PRECIO"),
+        F.col("l_suppkey").alias("CC_DESPACHA"), F.col("p_name").alias("DIRECCION_CLI"),
+        F.col("l_partkey").alias("PRD_LVL_NUMBER"), F.col("p_name").alias("PRD_NAME_FULL"),
+    )
+
+
 @query("consolidate_orders", """
     WITH l AS (
       SELECT l_orderkey AS r, l_shipdate AS f, l_orderkey || '_' || l_partkey AS k, l_linenumber AS n, l_quantity AS q,
@@ -89,35 +102,43 @@ def lines(t):
     SELECT CAST(r AS VARCHAR) AS "NUM_RESERVA",
            CAST(sum(CAST(q AS DECIMAL(18,4)) * CAST(p AS DECIMAL(18,4))) AS DOUBLE) AS "TOTAL", count(*) AS "LINEAS",
            first(s ORDER BY f, k, n, q, p) AS "CC_DESPACHA", first(nombre ORDER BY f, k, n, q, p) AS "DIRECCION_CLI",
-           '[' || string_agg('{"sku":"' || l_partkey || '","nombre":"' || nombre || '","cantidad":' || q || ',"precio":' || p
-             || '}', ',' ORDER BY f, k, n, q, p) || ']' AS "PRODUCTOS",
-           false AS "ENVIADO", CAST(0 AS BIGINT) AS "PARTE", CAST(1 AS BIGINT) AS "PARTES"
+           false AS "ENVIADO"
     FROM l GROUP BY r
 """)
 def orders(t):
-    rows = enrich(t.lineitem, t.part, [("l_partkey", "p_partkey")], ["p_name"], expect="unique").select(
-        text("l_orderkey").alias("NUM_RESERVA"), F.col("l_shipdate").alias("FECHA_PROCESO"),
-        F.concat(text("l_orderkey"), F.lit("_"), text("l_partkey")).alias("KEY"), "l_linenumber",
-        F.col("l_quantity").alias("CANTIDAD"), F.col("l_extendedprice").alias("PRECIO"),
-        F.col("l_suppkey").alias("CC_DESPACHA"), F.col("p_name").alias("DIRECCION_CLI"),
-        F.col("l_partkey").alias("PRD_LVL_NUMBER"), F.col("p_name").alias("PRD_NAME_FULL"),
-    )
-    out = express.consolidate_orders(
-        rows, AS_OF, order_by=["FECHA_PROCESO", "KEY", "l_linenumber", "CANTIDAD", "PRECIO"],
-        attributes=["CC_DESPACHA", "DIRECCION_CLI"],
-    )
-    return out.select("NUM_RESERVA", "TOTAL", "LINEAS", "CC_DESPACHA", "DIRECCION_CLI", "PRODUCTOS", "ENVIADO", "PARTE",
-                      "PARTES")
+    out = express.consolidate_orders(order_lines(t), AS_OF, order_by=_ORDER, attributes=["CC_DESPACHA", "DIRECCION_CLI"])
+    return out.select("NUM_RESERVA", "TOTAL", "LINEAS", "CC_DESPACHA", "DIRECCION_CLI", "ENVIADO")
+
+
+@query("order_products", """
+    SELECT CAST(l_orderkey AS VARCHAR) AS "NUM_RESERVA", l_shipdate AS "ORDEN_1", l_orderkey || '_' || l_partkey AS "ORDEN_2",
+           l_linenumber AS "ORDEN_3", CAST(l_partkey AS VARCHAR) AS sku, trim(p_name) AS nombre,
+           CAST(l_quantity AS DOUBLE) AS cantidad, CAST(l_extendedprice AS DOUBLE) AS precio
+    FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
+""")
+def products(t):
+    return express.order_products(order_lines(t), order_by=_ORDER[:3])
+
+
+@query("nest_products", """
+    WITH l AS (
+      SELECT l_orderkey AS r, l_shipdate AS f, l_orderkey || '_' || l_partkey AS k, l_linenumber AS n, l_quantity AS q,
+             l_extendedprice AS p, trim(p_name) AS nombre, l_partkey
+      FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)
+    SELECT CAST(o_orderkey AS VARCHAR) AS "NUM_RESERVA",
+           '[' || string_agg('{"sku":"' || l_partkey || '","nombre":"' || nombre || '","cantidad":' || q || ',"precio":' || p
+             || '}', ',' ORDER BY f, k, n, q, p) || ']' AS "PRODUCTOS"
+    FROM orders LEFT JOIN l ON r = o_orderkey WHERE o_orderstatus = 'F' GROUP BY 1
+""")
+def nested(t):
+    wanted = t.orders.filter(F.col("o_orderstatus") == "F").select(text("o_orderkey").alias("NUM_RESERVA"))
+    return express.nest_products(wanted, express.order_products(order_lines(t), order_by=_ORDER))
 
 
 def order_table(t):
-    """Consolidated orders with client data; one product each."""
+    """Consolidated orders with client data."""
     k = F.col("o_orderkey")
     out = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], ["c_name", "c_acctbal", "c_nationkey", "c_mktsegment"], expect="unique")
-    product = F.concat(
-        F.lit('[{"sku":" A '), text("o_custkey"), F.lit(' ","nombre":"x ","cantidad":2.0,"precio":'), text("c_acctbal"),
-        F.lit('},{"sku":"  ","nombre":"y","cantidad":1.0,"precio":1.0}]'),
-    )
     return out.select(
         text("o_orderkey").alias("NUM_RESERVA"),
         F.col("c_name").alias("NOMBRE_CLI"),
@@ -130,12 +151,21 @@ def order_table(t):
         pick(["-12,0464", "0", None, "x", "-12.04641234567"], k % 5).alias("LATITUD"),
         F.when(k % 7 != 0, "-77.1").otherwise("-76.99995").alias("LONGITUD"),
         F.col("o_totalprice").alias("TOTAL"),
-        product.alias("PRODUCTOS"),
         F.lit(False).alias("ENVIADO"),
         F.lit(False).alias("FLAG_GEOCODIFICADO"),
     )
 
 
+def product_table(t):
+    """Two products of each order, the second with a blank sku."""
+    rows = enrich(t.orders, t.customer, [("o_custkey", "c_custkey")], ["c_acctbal"], expect="unique").select(
+        text("o_orderkey").alias("NUM_RESERVA"), F.concat(F.lit(" A "), text("o_custkey"), F.lit(" ")).alias("sku"), "c_acctbal"
+    )
+    one = rows.select("NUM_RESERVA", F.lit(2).alias("linea"), "sku", F.lit("x ").alias("nombre"), F.lit(2.0).alias("q"), "c_acctbal")
+    two = rows.select("NUM_RESERVA", F.lit(1).alias("linea"), F.lit("  ").alias("sku"), F.lit("y"), F.lit(1.0), F.lit(1.0))
+    return express.order_products(one.union(two), "NUM_RESERVA", ["linea"], "sku", "nombre", "q", "c_acctbal")
+
+
 def sends_table(t):
     return t.orders.filter(F.col("o_orderstatus") == "F").select(
         text("o_orderkey").alias("NUM_RESERVA"),
@@ -178,7 +208,7 @@ def outbox(t):
     custkey = F.regexp_extract("DIRECCION_GEO", "([0-9]+)", 1).cast("bigint")
     found = express.geocode_worklist(express.with_coords(orders)).filter(custkey % 3 != 0)
     geocodes = found.select("DIRECCION_GEO", F.lit(-11.5).alias("lat"), F.lit(-76.123456).alias("lng"))
-    return express.dispatch_outbox(orders, sends_table(t), districts, stores, geocodes, AS_OF)
+    return express.dispatch_outbox(orders, sends_table(t), districts, stores, geocodes, AS_OF, products=product_table(t))
 
 
 @query("dispatch_outbox", f"""
@@ -187,25 +217,21 @@ def outbox(t):
       CASE WHEN c_nationkey < 20 THEN 'NATION_' || c_nationkey END AS "UBIGEO",
       s_name AS "IDCARGO",
       CASE WHEN y IS NULL THEN 'ERROR_GOOGLE' END AS "STATUS", TIMESTAMP '1998-06-15 19:20:00' AS "FECHA_ENVIO",
-      CASE WHEN y IS NOT NULL THEN CAST(trunc(o_totalprice) AS BIGINT) END AS total,
-      CASE WHEN y IS NOT NULL THEN k END AS orden, CASE WHEN y IS NOT NULL THEN c_name END AS nombre,
-      CASE WHEN y IS NOT NULL THEN 'A' || o_custkey END AS sku,
-      CASE WHEN y IS NOT NULL THEN CAST(trunc(c_acctbal) AS BIGINT) END AS precio, CAST(NULL AS VARCHAR) AS segundo
+      CASE WHEN y IS NOT NULL THEN '{{"total_value":' || CAST(trunc(o_totalprice) AS BIGINT)
+        || ',"user_tip":0,"vehicle_type":"{fixed.DISPATCH_VEHICLE}","payment_method":"{fixed.DISPATCH_PAYMENT}","order_id":' || k
+        || ',"in_store_reference_id":' || coalesce('"' || s_name || '"', 'null') || ',"action_points":[{{"picking_point_id":'
+        || coalesce('"' || s_name || '"', 'null') || ',"instructions":"","products":[{{"product_id":"A' || o_custkey
+        || '","name":"x","description":"x","units":2,"ean":"A' || o_custkey || '","unit_price":' || CAST(trunc(c_acctbal) AS BIGINT)
+        || '}}],"action_type":"PICK_UP","location_type":"STORE"}},{{"products":[],"action_type":"DROP_OFF","location_type":"CLIENT"}}],'
+        || '"client_info":{{"email":null,"phone":"9' || o_custkey || '","first_name":"' || c_name || '","last_name":"' || c_name
+        || '","address":" Calle ' || o_custkey || '","lat":' || lat || ',"lng":' || lng || ',"complement":"","city":"' || c_mktsegment
+        || '","comments":"","zip_code":' || CASE WHEN c_nationkey < 20 THEN '"NATION_' || c_nationkey || '"' ELSE 'null' END || '}}}}'
+      END AS "PAYLOAD"
     FROM f LEFT JOIN supplier ON s_suppkey = k % 50 AND s_suppkey < 40
 """)
 def dispatch(t):
-    def field(path):
-        return F.get_json_object("PAYLOAD", path)
-
-    first = "$.action_points[0].products"
     return outbox(t).select(
-        "NUM_RESERVA", "DIRECCION_GEO", "lat", "lng", "FLAG_GEOCODIFICADO", "UBIGEO", "IDCARGO", "STATUS", "FECHA_ENVIO",
-        field("$.total_value").cast("bigint").alias("total"),
-        field("$.order_id").cast("bigint").alias("orden"),
-        field("$.client_info.first_name").alias("nombre"),
-        field(f"{first}[0].product_id").alias("sku"),
-        field(f"{first}[0].unit_price").cast("bigint").alias("precio"),
-        field(f"{first}[1].product_id").alias("segundo"),
+        "NUM_RESERVA", "DIRECCION_GEO", "lat", "lng", "FLAG_GEOCODIFICADO", "UBIGEO", "IDCARGO", "STATUS", "FECHA_ENVIO", "PAYLOAD"
     )
 
 
@@ -279,14 +305,10 @@ def tracking(t):
 
 
 @query("digest", f"""
-    WITH {_SENDS} SELECT 'Reserva: ' || "NUM_RESERVA" AS reserva, 'Tracking: ' || "TRACKING_URL" AS enlace
+    WITH {_SENDS} SELECT CAST("FECHA_ENVIO" AS DATE) AS dia, 'Reserva: ' || "NUM_RESERVA" || chr(10) || 'Tracking: ' || "TRACKING_URL" AS linea
     FROM s WHERE "ESTADO" = 'ENVIADO'
 """)
 def digest(t):
-    """The lines of all messages, read back out of their texts."""
-    messages = express.digest(express.classify_sends(answered(t)), lines_per_message=200)
-    body = F.regexp_replace("texto", r"^[^\n]*\n\n", "")
-    pieces = messages.select(F.explode(F.split(body, "\n(?=Reserva)")).alias("_p"))
-    return pieces.select(
-        F.get(F.split("_p", "\n"), F.lit(0)).alias("reserva"), F.get(F.split("_p", "\n"), F.lit(1)).alias("enlace")
-    )
+    """Lines of the daily messages."""
+    sends = express.classify_sends(answered(t)).withColumn("dia", F.col("FECHA_ENVIO").cast("date"))
+    return express.digest(sends, by=["dia"])

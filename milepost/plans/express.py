@@ -17,9 +17,6 @@ from ..operators.merge import merge_update
 from ..sources.schemas import EXPRESS_LINES, PRODUCT
 from ..sources.tables import conform
 
-#: Lines of one order that are nested in one row. A larger order comes in parts.
-NESTED_LINES = 1_000_000
-
 HEADER_COLUMNS = (
     "REGION_CLI", "CIUDAD_CLI", "COMUNA_CLI", "COMUNA_DESP", "CORREO_CLI", "DIRECCION_CLI", "DIRECCION_DESP",
     "E_MAIL", "FONO_CLI", "FONO_DESP", "FONO2_DESP", "IDE", "LATITUD", "LONGITUD", "NOMBRE_CLI", "NOMBRE_DESP",
@@ -77,17 +74,38 @@ def express_lines(
     return conform(out, EXPRESS_LINES, absent)
 
 
-def product_list(order_by: Sequence[str], sku: str, name: str, quantity: str, price: str) -> Column:
-    """Products of a group as an array of structs in a fixed order (A2)."""
-    item = F.struct(
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)],
+def order_products(
+    lines: DataFrame,
+    key: str = "NUM_RESERVA",
+    order_by: Sequence[str] = ("FECHA_PROCESO", "KEY"),
+    sku: str = "PRD_LVL_NUMBER",
+    name: str = "PRD_NAME_FULL",
+    quantity: str = "CANTIDAD",
+    price: str = "PRECIO",
+) -> DataFrame:
+    """Products of all orders, one row per line (A2); ``ORDEN_1`` and on give their order within the order."""
+    return lines.select(
+        key,
+        *[F.col(c).alias(f"ORDEN_{i}") for i, c in enumerate(order_by, 1)],
         strip(F.col(sku).cast("string")).alias("sku"),
         strip(F.col(name).cast("string")).alias("nombre"),
         F.col(quantity).cast("double").alias("cantidad"),
         F.col(price).cast("double").alias("precio"),
     )
-    fields = [f.name for f in PRODUCT.fields]
-    return F.transform(F.sort_array(F.collect_list(item)), lambda p: F.struct(*[p[f].alias(f) for f in fields]))
+
+
+def nest_products(orders: DataFrame, products: DataFrame, key: str = "NUM_RESERVA") -> DataFrame:
+    """Add ``PRODUCTOS``, the product list of each order as JSON, for the orders given and no others.
+
+    A document holds its order's products, so they meet in one row here and nowhere before.
+    """
+    fields, order = [f.name for f in PRODUCT.fields], sorted(c for c in products.columns if c.startswith("ORDEN_"))
+    wanted = products.join(orders.select(key).distinct(), key, "left_semi")
+    items = F.transform(
+        F.sort_array(F.collect_list(F.struct(*order, *fields))), lambda p: F.struct(*[p[f].alias(f) for f in fields])
+    )
+    nested = wanted.groupBy(key).agg(F.to_json(items, {"ignoreNullFields": "false"}).alias("PRODUCTOS"))
+    return enrich(orders.drop("PRODUCTOS"), nested, [key], ["PRODUCTOS"], expect="unique", what="products")
 
 
 def consolidate_orders(
@@ -96,20 +114,14 @@ def consolidate_orders(
     key: str = "NUM_RESERVA",
     order_by: Sequence[str] = ("FECHA_PROCESO", "KEY"),
     attributes: Sequence[str] = ORDER_COLUMNS,
-    sku: str = "PRD_LVL_NUMBER",
-    name: str = "PRD_NAME_FULL",
     quantity: str = "CANTIDAD",
     price: str = "PRECIO",
     money: str = "decimal(18,4)",
-    nested_lines: int = NESTED_LINES,
 ) -> DataFrame:
-    """Lines to orders (A1): exact total, attributes of the first line, product list, control flags.
+    """Lines to orders (A1): one row per order with its exact total, the attributes of its first line, control flags.
 
-    An order with up to ``nested_lines`` lines is one row (``PARTE`` 0 of 1). A
-    larger one keeps all its products in several rows of about that size, each
-    with the order's own total and attributes; its total comes from a partial
-    aggregation, so no task ever holds the whole group. There are at most
-    ``all lines / nested_lines`` such orders, which bounds the broadcast.
+    All of it is partially aggregated, so an order of any size is one row that no
+    task has to gather. Its products stay at line grain (``order_products``).
 
     ``RECHAZO`` names the reason when a line has no quantity or price; such an
     order is to be split off with ``split_valid`` and has no place downstream (G8).
@@ -118,40 +130,18 @@ def consolidate_orders(
     first = F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)],
                            *[F.col(c).alias(c) for c in attributes]))
     bad = F.count_if(F.col(quantity).isNull() | F.col(price).isNull())
-    facts = [F.sum(amount).alias("_total"), first.alias("_first"), bad.alias("_bad"), F.count(F.lit(1)).alias("_n")]
-
-    # Counting reads the key only; the facts of large orders are partial aggregates.
-    counted = lines.groupBy(F.col(key).alias("_large_key")).agg(F.count(F.lit(1)).alias("_n"))
-    large_keys = F.broadcast(counted.filter(F.col("_n") > nested_lines).select("_large_key"))
-    large = lines.join(large_keys, F.col(key) == F.col("_large_key")).groupBy("_large_key").agg(*facts)
-    large = large.select("_large_key", F.struct("_total", "_first", "_bad", "_n").alias("_large"))
-    parts = F.coalesce(F.ceil(F.col("_large._n") / nested_lines), F.lit(1))
-    spread = F.when(F.col("_large").isNotNull(), F.pmod(F.xxhash64(*lines.columns), parts)).otherwise(F.lit(0))
-    marked = lines.join(F.broadcast(large), F.col(key) == F.col("_large_key"), "left").withColumns(
-        {"_parts": parts.cast("bigint"), "PARTE": spread.cast("bigint")}
-    )
-    grouped = marked.groupBy(key, "PARTE").agg(
-        *facts,
-        F.max("_parts").alias("PARTES"),
-        F.first("_large", ignorenulls=True).alias("_large"),
-        product_list(order_by, sku, name, quantity, price).alias("_products"),
+    grouped = lines.groupBy(key).agg(
+        F.sum(amount).alias("_total"), first.alias("_first"), bad.alias("_bad"), F.count(F.lit(1)).alias("LINEAS")
     )
-
-    def fact(c):
-        return F.when(F.col("_large").isNotNull(), F.col("_large")[c]).otherwise(F.col(c))
-
     return grouped.select(
         key,
         literal(as_of).alias("FECHA_CREACION"),
-        *[fact("_first")[c].alias(c) for c in attributes],
-        fact("_total").cast("double").alias("TOTAL"),
-        F.to_json("_products", {"ignoreNullFields": "false"}).alias("PRODUCTOS"),
+        *[F.col("_first")[c].alias(c) for c in attributes],
+        F.col("_total").cast("double").alias("TOTAL"),
         F.lit(False).alias("ENVIADO"),
         F.lit(False).alias("FLAG_GEOCODIFICADO"),
-        fact("_n").alias("LINEAS"),
-        "PARTE",
-        "PARTES",
-        F.when(fact("_bad") > 0, "cantidad o precio sin valor").alias("RECHAZO"),
+        "LINEAS",
+        F.when(F.col("_bad") > 0, "cantidad o precio sin valor").alias("RECHAZO"),
     )
 
 
@@ -209,7 +199,10 @@ def clean_products(products: Column | str) -> Column:
 
 
 def order_document(orders: DataFrame, default_email: str | None = None) -> Column:
-    """Dispatch document as a struct (B22). Columns an earlier stage does not carry take their default."""
+    """Dispatch document as JSON text (B22). Columns an earlier stage does not carry take their default.
+
+    The two action points have different keys, so they are written one by one.
+    """
 
     def optional(name, default=None):
         return F.col(name) if name in orders.columns else F.lit(default).cast("string")
@@ -217,42 +210,44 @@ def order_document(orders: DataFrame, default_email: str | None = None) -> Colum
     first, last = contact.split_name("NOMBRE_CLI")
     products = clean_products("PRODUCTOS")
     no_products = F.slice(products, 1, 0)
-    return F.struct(
+
+    def text(*fields):
+        return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+    head = text(
         F.col("TOTAL").cast("bigint").alias("total_value"),
         F.lit(0).alias("user_tip"),
         F.lit(fixed.DISPATCH_VEHICLE).alias("vehicle_type"),
         F.lit(fixed.DISPATCH_PAYMENT).alias("payment_method"),
         F.col("NUM_RESERVA").try_cast("bigint").alias("order_id"),
         F.col("IDCARGO").alias("in_store_reference_id"),
-        F.array(
-            F.struct(
-                F.col("IDCARGO").alias("picking_point_id"),
-                F.lit("").alias("instructions"),
-                products.alias("products"),
-                F.lit("PICK_UP").alias("action_type"),
-                F.lit("STORE").alias("location_type"),
-            ),
-            F.struct(
-                F.lit(None).cast(orders.schema["IDCARGO"].dataType).alias("picking_point_id"),
-                F.lit(None).cast("string").alias("instructions"),
-                no_products.alias("products"),
-                F.lit("DROP_OFF").alias("action_type"),
-                F.lit("CLIENT").alias("location_type"),
-            ),
-        ).alias("action_points"),
-        F.struct(
-            optional("E_MAIL", default_email).alias("email"),
-            F.col("FONO_CLI").cast("string").alias("phone"),
-            first.alias("first_name"),
-            last.alias("last_name"),
-            F.col("DIRECCION_CLI").alias("address"),
-            F.col("lat").alias("lat"),
-            F.col("lng").alias("lng"),
-            optional("OBSERVACION", "").alias("complement"),
-            F.col("CIUDAD_CLI").alias("city"),
-            optional("OBSERVACION", "").alias("comments"),
-            F.col("UBIGEO").cast("string").alias("zip_code"),
-        ).alias("client_info"),
+    )
+    pick_up = text(
+        F.col("IDCARGO").alias("picking_point_id"),
+        F.lit("").alias("instructions"),
+        products.alias("products"),
+        F.lit("PICK_UP").alias("action_type"),
+        F.lit("STORE").alias("location_type"),
+    )
+    drop_off = text(
+        no_products.alias("products"), F.lit("DROP_OFF").alias("action_type"), F.lit("CLIENT").alias("location_type")
+    )
+    client = text(
+        optional("E_MAIL", default_email).alias("email"),
+        F.col("FONO_CLI").cast("string").alias("phone"),
+        first.alias("first_name"),
+        last.alias("last_name"),
+        F.col("DIRECCION_CLI").alias("address"),
+        F.col("lat").alias("lat"),
+        F.col("lng").alias("lng"),
+        optional("OBSERVACION", "").alias("complement"),
+        F.col("CIUDAD_CLI").alias("city"),
+        optional("OBSERVACION", "").alias("comments"),
+        F.col("UBIGEO").cast("string").alias("zip_code"),
+    )
+    return F.concat(
+        F.regexp_replace(head, r"\}$", ""), F.lit(',"action_points":['), pick_up, F.lit(","), drop_off,
+        F.lit('],"client_info":'), client, F.lit("}"),
     )
 
 
@@ -274,9 +269,13 @@ def dispatch_outbox(
     as_of: AsOf,
     geocode_nulls: bool = False,
     default_email: str | None = None,
+    products: DataFrame | None = None,
 ) -> DataFrame:
     """Orders to dispatch now (B23): not accepted before, enriched, located, with their document.
 
+    ``products`` has the orders' products at line grain (``order_products``); without
+    it the orders carry them as JSON in ``PRODUCTOS``.
+
     An order that could not be located carries the geocoder error state and no document.
     """
     ready = not_in_history(
@@ -284,8 +283,10 @@ def dispatch_outbox(
         where=F.col("STATUS").cast("string").isin(*fixed.ACCEPTED_STATUS),
     )
     out = apply_geocodes(enrich_orders(ready, districts, stores), geocodes)
+    if products is not None:
+        out = nest_products(out, products)
     located = F.col("lat").isNotNull()
-    document = F.to_json(order_document(out, default_email), {"ignoreNullFields": "false"})
+    document = order_document(out, default_email)
     return out.withColumns(
         {
             "FECHA_ENVIO": literal(moment(as_of)),
@@ -297,8 +298,7 @@ def dispatch_outbox(
 
 def update_sent_coords(orders: DataFrame, outbox: DataFrame) -> DataFrame:
     """Write the dispatched coordinates and the geocode flag back to the orders (M2)."""
-    first = outbox.filter(F.col("PARTE") == 0) if "PARTE" in outbox.columns else outbox
-    src = first.select(
+    src = outbox.select(
         F.col("NUM_RESERVA").cast("string").alias("NUM_RESERVA"),
         F.coalesce(F.col("lat").cast("string"), F.col("LATITUD").cast("string")).alias("LATITUD"),
         F.coalesce(F.col("lng").cast("string"), F.col("LONGITUD").cast("string")).alias("LONGITUD"),
@@ -343,23 +343,10 @@ def new_tracking(classified: DataFrame, tracking: DataFrame) -> DataFrame:
     return not_in_history(classified, tracking, "NUM_RESERVA")
 
 
-def digest(tracking: DataFrame, lines_per_message: int = 1000) -> DataFrame:
-    """Text messages listing the tracked orders (A5).
+def digest(tracking: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Lines of the message about tracked orders, one row each, with the columns ``by`` that name a message (A5).
 
-    Up to ``lines_per_message`` orders make one message; more are dealt over as
-    many messages as needed, so no message gathers an unbounded list.
+    The sink joins the lines of a message under ``DIGEST_TITLE``; here none is gathered.
     """
-    found = tracking.filter((F.col("ESTADO") == fixed.SEND_OK) & F.col("TRACKING_URL").isNotNull()).select(
-        F.concat(F.lit("Reserva: "), key_text("NUM_RESERVA"), F.lit("\nTracking: "), "TRACKING_URL").alias("_line")
-    )
-    messages = found.agg(F.greatest(F.ceil(F.count(F.lit(1)) / lines_per_message), F.lit(1))).scalar()
-    return (
-        found.withColumn("mensaje", F.pmod(F.xxhash64("_line"), messages))
-        .groupBy("mensaje")
-        .agg(
-            F.count(F.lit(1)).alias("ordenes"),
-            F.concat(
-                F.lit(f"{fixed.DIGEST_TITLE}\n\n"), F.array_join(F.array_sort(F.collect_list("_line")), "\n")
-            ).alias("texto"),
-        )
-    )
+    found = tracking.filter((F.col("ESTADO") == fixed.SEND_OK) & F.col("TRACKING_URL").isNotNull())
+    return found.select(*by, F.concat(F.lit("Reserva: "), key_text("NUM_RESERVA"), F.lit("\nTracking: "), "TRACKING_URL").alias("linea"))

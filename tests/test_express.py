@@ -1,4 +1,4 @@
-"""Express pipeline: orders in parts, documents, states, messages."""
+"""Express pipeline: orders, products, documents, states, messages."""
 
 import json
 
@@ -26,18 +26,17 @@ def orders(lines, **options):
 def test_orders(lines):
     got = {r.NUM_RESERVA: r for r in orders(lines).collect()}
     assert got["r1"].TOTAL == 42.0 and got["r1"].NOMBRE_CLI == "c1" and got["r1"].LINEAS == 7
-    assert [p["sku"] for p in json.loads(got["r1"].PRODUCTOS)] == [f"sku {i}" for i in range(1, 8)]
-    assert json.loads(got["r2"].PRODUCTOS) == [{"sku": "", "nombre": "x", "cantidad": 2.0, "precio": 10.0}]
     ok, bad = split_valid(orders(lines), F.col("RECHAZO").isNull())
     assert (ok.count(), [r.NUM_RESERVA for r in bad.collect()]) == (2, ["r3"])
 
 
-def test_large_order_comes_whole_in_parts(lines):
-    parts = orders(lines, nested_lines=2).filter("NUM_RESERVA = 'r1'").collect()
-    assert len(parts) > 1 and {p.PARTES for p in parts} == {4}
-    assert {(p.TOTAL, p.NOMBRE_CLI, p.LINEAS) for p in parts} == {(42.0, "c1", 7)}
-    skus = sorted(p["sku"] for row in parts for p in json.loads(row.PRODUCTOS))
-    assert skus == [f"sku {i}" for i in range(1, 8)]
+def test_products_stay_at_line_grain_until_the_document(lines):
+    products = express.order_products(lines, order_by=["KEY"])
+    assert products.count() == lines.count()
+    some = orders(lines).filter("NUM_RESERVA <> 'r3'")
+    got = {r.NUM_RESERVA: json.loads(r.PRODUCTOS) for r in express.nest_products(some, products).collect()}
+    assert [p["sku"] for p in got["r1"]] == [f"sku {i}" for i in range(1, 8)]
+    assert got["r2"] == [{"sku": "", "nombre": "x", "cantidad": 2.0, "precio": 10.0}] and set(got) == {"r1", "r2"}
 
 
 def order_frame(spark):
@@ -74,7 +73,7 @@ def test_outbox(spark):
     assert doc["total_value"] == 10 and doc["order_id"] == 2 and doc["in_store_reference_id"] == "C8"
     pick, drop = doc["action_points"]
     assert pick["products"] == [{"product_id": "A1", "name": "p", "description": "p", "units": 2, "ean": "A1", "unit_price": 3}]
-    assert drop["products"] == [] and drop["action_type"] == "DROP_OFF"
+    assert drop == {"products": [], "action_type": "DROP_OFF", "location_type": "CLIENT"}
     client = doc["client_info"]
     assert (client["first_name"], client["last_name"], client["zip_code"], client["email"]) == ("Ana", "Ana", "150140", None)
 
@@ -109,12 +108,11 @@ def test_send_states(spark, rows):
     assert rows(kept, "NUM_RESERVA", "ESTADO") == [("5", "ERROR"), ("6", "ERROR")]
 
 
-def test_digest_deals_orders_over_messages(spark):
-    tracked = spark.range(250).select(F.col("id").alias("NUM_RESERVA"), F.lit("ENVIADO").alias("ESTADO"), F.concat(F.lit("u"), F.col("id")).alias("TRACKING_URL"))
-    one = express.digest(tracked).collect()
-    assert len(one) == 1 and one[0].ordenes == 250 and one[0].texto.count("Reserva: ") == 250
-    many = express.digest(tracked, lines_per_message=50).collect()
-    assert 1 < len(many) <= 5 and sum(m.ordenes for m in many) == 250
+def test_digest_has_a_row_for_each_order(spark):
+    tracked = spark.range(250).select(F.col("id").alias("NUM_RESERVA"), F.lit("ENVIADO").alias("ESTADO"), F.concat(F.lit("u"), F.col("id")).alias("TRACKING_URL"),
+                                      (F.col("id") % 2).alias("tienda"))
+    lines = express.digest(tracked, by=["tienda"]).collect()
+    assert len(lines) == 250 and sorted(r.linea for r in lines if r.tienda == 1)[0] == "Reserva: 1\nTracking: u1"
 
 
 def test_extract(spark, rows):
