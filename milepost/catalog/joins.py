@@ -320,8 +320,8 @@ _REFERENCES = """
           WHEN 2 THEN 'B: 000' || o_orderkey WHEN 3 THEN 'Factura ' || o_orderkey
           WHEN 4 THEN 'F001-' || (o_orderkey + 1000000) WHEN 5 THEN '{"BLT":"000' || (o_orderkey + 100000000) || '"}'
           WHEN 6 THEN '{"F" : "' || o_orderkey || '"}' WHEN 7 THEN CAST(o_orderkey + 5000000 AS VARCHAR)
-          WHEN 8 THEN 'BLT 12345678901234' WHEN 9 THEN '  ' WHEN 10 THEN NULL
-          ELSE 'FACTURA Y BOLETA' END AS referencia
+          WHEN 8 THEN 'BLT ' || (12345600000000 + o_custkey) WHEN 9 THEN '  ' WHEN 10 THEN NULL
+          ELSE 'FACTURA Y BOLETA ' || translate(CAST(o_custkey AS VARCHAR), '0123456789', 'ABCDEGHIJK') END AS referencia
       FROM orders),
     typed AS (
       SELECT *, trim(referencia) AS txt,
@@ -359,10 +359,10 @@ def references(t):
         F.concat(F.lit('{"BLT":"000'), text(k + 100000000), F.lit('"}')),
         F.concat(F.lit('{"F" : "'), text(k), F.lit('"}')),
         text(k + 5000000),
-        F.lit("BLT 12345678901234"),
+        F.concat(F.lit("BLT "), text(F.col("o_custkey") + F.lit(12345600000000))),
         F.lit("  "),
         F.lit(None).cast("string"),
-        F.lit("FACTURA Y BOLETA"),
+        F.concat(F.lit("FACTURA Y BOLETA "), F.translate(text(F.col("o_custkey")), "0123456789", "ABCDEGHIJK")),
     ]
     shape = None
     for i, c in enumerate(shapes):
@@ -389,6 +389,10 @@ def canonical(t):
     SELECT o_orderkey, clave AS doc_key, a_surveyid, e_responsedate FROM keyed LEFT JOIN enc ON clave = k
 """)
 def document_match(t):
+    return _document_match(t, "latest")
+
+
+def _document_match(t, match):
     docs = canonical_document(references(t), "referencia")
     surveys = docs.filter(F.col("o_orderstatus") == "F").select(
         F.col("o_orderkey").alias("a_surveyid"), F.col("o_orderdate").alias("e_responsedate"),
@@ -396,10 +400,20 @@ def document_match(t):
     )
     return services.match_documents(
         docs.select("o_orderkey", "doc_key"), surveys, "doc_key", "survey_key", ["a_surveyid", "e_responsedate"],
-        match="latest",
+        match=match,
     )
 
 
+@query("document_match_all", f"""
+    WITH {_REFERENCES},
+    enc AS (SELECT o_orderkey AS a_surveyid, o_orderdate AS e_responsedate, clave AS k FROM keyed
+            WHERE o_orderstatus = 'F' AND coalesce(trim(clave), '') <> '')
+    SELECT o_orderkey, clave AS doc_key, a_surveyid, e_responsedate FROM keyed LEFT JOIN enc ON clave = k
+""")
+def document_match_all(t):
+    return _document_match(t, "all")
+
+
 @query("survey_delivery_match", """
     WITH l AS (SELECT l_orderkey, l_partkey, l_suppkey, date_diff('day', o_orderdate, l_shipdate) AS atraso
                FROM lineitem JOIN orders ON l_orderkey = o_orderkey),

@@ -124,7 +124,7 @@ def _case(column, mapping):
     return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
 
 
-_SQL = f"""
+_MART = f"""
     WITH {_REFERENCES},
     log AS (SELECT l_partkey * 1000 + l_suppkey AS id, l_orderkey AS b, {_STATES}[l_linenumber] AS st, l_shipdate AS d,
                    l_suppkey AS u FROM lineitem),
@@ -146,8 +146,7 @@ _SQL = f"""
             QUALIFY row_number() OVER (PARTITION BY o_orderkey - o_orderkey % 2 ORDER BY o_orderkey DESC) = 1),
     enc AS (SELECT CAST(o_orderkey AS VARCHAR) AS sid, o_orderdate + INTERVAL 26 YEAR AS r, clave, o_orderkey AS k FROM keyed
             WHERE o_orderstatus <> 'F' AND o_custkey % 10 <> 0 AND year(o_orderdate + INTERVAL 26 YEAR) >= 2025
-              AND coalesce(clave, '') <> ''
-            QUALIFY row_number() OVER (PARTITION BY clave ORDER BY r DESC, CAST(o_orderkey AS VARCHAR) DESC) = 1),
+              AND coalesce(clave, '') <> '' {{newest}}),
     base AS (
       SELECT o.o_orderkey AS k, CAST(o.o_orderkey AS VARCHAR) AS booking_id, pri.d AS fecha_creacion,
         o.o_orderdate + INTERVAL 10 DAY AS fecha_finalizacion, o.o_orderdate AS fecha_programacion,
@@ -206,14 +205,26 @@ _SQL = f"""
 """
 
 
-@query("services_mart", _SQL)
-def mart(t):
-    out = services.services_mart(tables(t))
+_NEWEST = "QUALIFY row_number() OVER (PARTITION BY clave ORDER BY r DESC, CAST(o_orderkey AS VARCHAR) DESC) = 1"
+
+
+def _mart(t, match):
+    out = services.services_mart(tables(t), match)
     return out.withColumn("costo_presupuesto", F.col("costo_presupuesto").cast("double")).drop(
         "professional_id", "shopping_cart_id"
     )
 
 
+@query("services_mart", _MART.replace("{newest}", ""))
+def mart(t):
+    return _mart(t, "all")
+
+
+@query("services_mart_latest", _MART.replace("{newest}", _NEWEST))
+def mart_latest(t):
+    return _mart(t, "latest")
+
+
 def served_lines(t):
     """Order lines as services: requested, scheduled, finished and promised."""
     lines = enrich(t.lineitem, t.orders, [("l_orderkey", "o_orderkey")], ["o_orderdate", "o_custkey", "o_orderpriority"], expect="unique")

@@ -44,7 +44,7 @@ def test_projects(spark, rows, hot_rows):
 
 def test_mart_keeps_one_row_per_booking(spark):
     tables = services_queries.tables(Tables(spark, FOLDER))
-    out = services.services_mart(tables)
+    out = services.services_mart(tables, match="latest")
     assert out.count() == tables["booking"].count() == out.select("booking_id").distinct().count()
     first = services.services_mart(tables, creator="first")
     same = first.filter("creador_email is not null").filter(F.col("creador_email") != F.concat(F.lit("u"), "creador_user_id", F.lit("@x")))
