@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.dates import in_window
-from ..operators.merge import merge_insert, merge_sync, merge_update, merge_upsert
+from ..operators.merge import merge_insert, merge_sync, merge_update, merge_upsert, split_keys
 from ..session import scratch_path
 from ..sources.tables import export_report, read_upload, read_version, write_table, write_version
 from ..streaming import micro
@@ -63,6 +63,30 @@ def sync(t):
     return merge_sync(hashed(target(t)), hashed(source(t)), ["o_orderkey"], "huella", window)
 
 
+def keyless(df):
+    """Every seventh row loses its key."""
+    return df.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey")))
+
+
+@query("merge_null_keys", """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' OR o_orderkey % 7 = 0 THEN o_orderstatus ELSE lower(o_orderstatus) END AS o_orderstatus,
+           CASE WHEN o_orderstatus = 'F' OR o_orderkey % 7 = 0 THEN o_totalprice ELSE o_totalprice + 10 END AS o_totalprice, o_orderdate
+    FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderkey % 7 = 0)
+    UNION ALL
+    SELECT NULL, lower(o_orderstatus), o_totalprice + 10, o_orderdate FROM orders WHERE o_orderstatus <> 'F' AND o_orderkey % 7 = 0
+""")
+def null_keys(t):
+    return merge_upsert(target(t), keyless(source(t)), ["o_orderkey"])
+
+
+@query("merge_rejects", """
+    SELECT lower(o_orderstatus) AS o_orderstatus, o_totalprice + 10 AS o_totalprice, o_orderdate FROM orders
+    WHERE o_orderstatus <> 'F' AND o_orderkey % 7 = 0
+""")
+def rejects(t):
+    return split_keys(keyless(source(t)), ["o_orderkey"])[1].drop("o_orderkey")
+
+
 @query("append_log", """
     SELECT o_orderkey, o_orderstatus, TIMESTAMP '2024-01-15 08:00:00' AS cargado,
            CASE WHEN o_orderstatus = 'O' THEN TIMESTAMP '2024-01-15 09:00:00' ELSE TIMESTAMP '2024-01-15 08:00:00' END

@@ -18,8 +18,10 @@ from .keyed import Order, latest_per_key
 Keys = Sequence[str | tuple[Column | str, Column | str]]
 
 
-def unique_on(df: DataFrame, keys: Sequence[str], what: str = "table") -> DataFrame:
-    """The same rows, failing at run time when two share a key. Rows with a NULL key are dropped.
+def unique_on(df: DataFrame, keys: Sequence[str], what: str = "table", keep_null: bool = False) -> DataFrame:
+    """The same rows, failing at run time when two share a key.
+
+    Rows with a NULL key are dropped, as a lookup can't find them; ``keep_null`` lets them pass.
 
     The check is a scalar subquery over the key columns alone, with partial
     aggregation; the rows themselves are not regrouped and go straight on.
@@ -28,7 +30,7 @@ def unique_on(df: DataFrame, keys: Sequence[str], what: str = "table") -> DataFr
     repeated = filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
     example = repeated.agg(F.min(F.to_json(F.struct(*keys)))).scalar()
     message = F.concat(F.lit(f"{what}: several rows for key "), example)
-    return filled.filter(F.when(example.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return (df if keep_null else filled).filter(F.when(example.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order_by: Order | None, what: str = "table") -> DataFrame:

@@ -2,16 +2,15 @@
 
 A file table has no ``MERGE INTO``; the caller writes the result as a new version
 (``sources.tables.write_version``) or, for inserts, appends ``new_rows``.
-Target and source meet in one full outer join, so that both are read once. With
-``stored_source`` (the source is a stored table, cheap to read again) and a size that
-Spark knows to be small enough to broadcast, the source is left-joined to the target
-instead and its unmatched rows are added: no target row moves over the network. The
-result is the same.
+The target is left-joined to the source on its plain key columns, so a target that is
+bucketed on its keys is not moved and a hot key can be split; source rows that found no
+target row are added. The source is read for both, so pass a stored one where it is dear.
 
 Keys of the target are unique. Keys of the source are checked: ``on_dup="error"``
 fails on a repeated key, ``"latest"`` keeps the first row by ``order_by``,
 ``"unique"`` trusts a source that has one row per key by construction, and
-``"keep_all"`` lets inserts repeat.
+``"keep_all"`` lets inserts repeat. A source row with a NULL key matches nothing, so
+every mode inserts it, as a SQL merge does; ``split_keys`` parts such rows off before.
 """
 
 from __future__ import annotations
@@ -25,15 +24,24 @@ from .joins import unique_on
 from .keyed import Order, latest_per_key
 
 
+def split_keys(src: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with all keys, and the rejected rows that lack one."""
+    filled = F.lit(True)
+    for k in keys:
+        filled = filled & F.col(k).isNotNull()
+    return src.filter(filled), src.filter(~filled)
+
+
 def unique_source(src: DataFrame, keys: Sequence[str], on_dup: str = "error", order_by: Order | None = None) -> DataFrame:
     if on_dup in ("keep_all", "unique"):
         return src
     if on_dup == "latest":
         if not order_by:
             raise ValueError("on_dup='latest' needs order_by")
-        return latest_per_key(src.na.drop("any", subset=list(keys)), keys, order_by)
+        filled, without = split_keys(src, keys)
+        return latest_per_key(filled, keys, order_by).unionByName(without)
     if on_dup == "error":
-        return unique_on(src, keys, "merge source")
+        return unique_on(src, keys, "merge source", keep_null=True)
     raise ValueError(f"unknown on_dup: {on_dup}")
 
 
@@ -60,25 +68,20 @@ def _source(src: DataFrame, keys: Sequence[str]) -> DataFrame:
     return src.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.struct(*src.columns).alias("_s"))
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether Spark's own estimate lets the frame be broadcast; an unknown size counts as large."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
-def _pairs(target: DataFrame, src: DataFrame, keys: Sequence[str], stored_source: bool) -> DataFrame:
-    """Structs ``_t`` and ``_s`` of matching rows; one of them is NULL where there is no match."""
-    old = target.select(F.struct(*target.columns).alias("_t"))
+def _matched(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows with the struct ``_s`` of their source row, NULL where there is none."""
     test = None
     for k in keys:
-        part = F.col("_t")[k] == F.col(f"_s_{k}")
+        part = target[k] == F.col(f"_s_{k}")
         test = part if test is None else test & part
-    how = "left" if stored_source and is_small(src) else "full_outer"
-    paired = old.join(_source(src, keys), test, how).select("_t", "_s")
-    if how == "full_outer":
-        return paired
-    nothing = F.lit(None).cast(old.schema["_t"].dataType).alias("_t")
+    return target.join(_source(src, keys), test, "left")
+
+
+def _pairs(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Structs ``_t`` and ``_s`` of matching rows; one of them is NULL where there is no match."""
+    old = F.struct(*[target[c] for c in target.columns]).alias("_t")
+    paired = _matched(target, src, keys).select(old, "_s")
+    nothing = F.lit(None).cast(paired.schema["_t"].dataType).alias("_t")
     return paired.unionByName(_unmatched(target, src, keys).select(nothing, F.struct(*src.columns).alias("_s")))
 
 
@@ -88,11 +91,7 @@ def merge_update(
 ) -> DataFrame:
     """Overwrite ``cols`` where the key matches; no inserts (M2)."""
     source = unique_source(src, keys, on_dup, order_by)
-    test = None
-    for k in keys:
-        part = target[k] == F.col(f"_s_{k}")
-        test = part if test is None else test & part
-    joined = target.join(_source(source, keys), test, "left")
+    joined = _matched(target, source, keys)
     new = F.col("_s")
     return joined.select(
         *[
@@ -111,7 +110,6 @@ def merge_upsert(
     on_update: Mapping[str, Column] | None = None,
     on_dup: str = "error",
     order_by: Order | None = None,
-    stored_source: bool = False,
 ) -> DataFrame:
     """Update matched rows, insert the others (M3).
 
@@ -121,7 +119,7 @@ def merge_upsert(
     """
     on_insert, on_update = dict(on_insert or {}), dict(on_update or {})
     cols = list(cols) if cols is not None else [c for c in src.columns if c not in keys]
-    paired = _pairs(target, unique_source(src, keys, on_dup, order_by), keys, stored_source)
+    paired = _pairs(target, unique_source(src, keys, on_dup, order_by), keys)
     t, s = F.col("_t"), F.col("_s")
 
     def value(c):
@@ -142,7 +140,6 @@ def merge_actions(
     delete_where: Column,
     on_dup: str = "error",
     order_by: Order | None = None,
-    stored_source: bool = False,
 ) -> DataFrame:
     """Full comparison of target and source: every row with its ``_action`` (M4).
 
@@ -151,7 +148,7 @@ def merge_actions(
     """
     columns = target.columns
     marked = target.withColumn("_in_window", F.coalesce(delete_where, F.lit(False)))
-    paired = _pairs(marked, unique_source(src, keys, on_dup, order_by), keys, stored_source)
+    paired = _pairs(marked, unique_source(src, keys, on_dup, order_by), keys)
     t, s = F.col("_t"), F.col("_s")
     action = (
         F.when(t.isNull(), "insert")
@@ -172,8 +169,7 @@ def merge_sync(
     delete_where: Column,
     on_dup: str = "error",
     order_by: Order | None = None,
-    stored_source: bool = False,
 ) -> DataFrame:
     """Hash-guarded sync with a windowed delete (M4)."""
-    out = merge_actions(target, src, keys, hash_col, delete_where, on_dup, order_by, stored_source)
+    out = merge_actions(target, src, keys, hash_col, delete_where, on_dup, order_by)
     return out.filter(F.col("_action") != "delete").drop("_action")

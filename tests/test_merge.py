@@ -17,6 +17,7 @@ def source(spark):
 
 
 def test_insert_twice_is_insert_once(target, source, rows):
+    source, _ = merge.split_keys(source, ["k"])
     once = merge.merge_insert(target, source, ["k"])
     assert rows(once, "k") == [("a",), ("b",), ("c",), ("d",), ("e",)]
     assert rows(merge.merge_insert(once, source, ["k"])) == rows(once)
@@ -31,19 +32,20 @@ def test_upsert_sets_load_and_update_columns(spark, target, source, rows):
     t = target.withColumns({"cargado": F.lit(0), "movido": F.lit(0)})
     out = merge.merge_upsert(t, source, ["k"], ["v"], {"cargado": F.lit(5), "movido": F.lit(5)}, {"movido": F.lit(5)})
     assert rows(out, "k", "v", "cargado", "movido", "day") == [
-        ("a", 9, 0, 5, 10), ("b", 8, 0, 5, 20), ("c", 3, 0, 0, 30), ("d", 4, 0, 0, 5), ("e", 7, 5, 5, None)
+        ("a", 9, 0, 5, 10), ("b", 8, 0, 5, 20), ("c", 3, 0, 0, 30), ("d", 4, 0, 0, 5), ("e", 7, 5, 5, None),
+        (None, 0, 5, 5, None)
     ]
 
 
 def test_upsert_to_an_empty_target(target, source, rows):
     out = merge.merge_upsert(target.limit(0), source, ["k"])
-    assert rows(out, "k") == [("a",), ("b",), ("e",)]
+    assert rows(out, "k") == [("a",), ("b",), ("e",), (None,)]
 
 
 def test_sync_actions(target, source, rows):
     out = merge.merge_actions(target, source, ["k"], "h", F.col("day") >= 10)
     assert rows(out, "k", "v", "_action") == [
-        ("a", 1, "keep"), ("b", 8, "update"), ("c", 3, "delete"), ("d", 4, "keep"), ("e", 7, "insert")
+        ("a", 1, "keep"), ("b", 8, "update"), ("c", 3, "delete"), ("d", 4, "keep"), ("e", 7, "insert"), (None, 0, "insert")
     ]
 
 
@@ -65,25 +67,23 @@ def test_repeated_source_keys(spark, target):
         merge.merge_insert(target, twice, ["k"], on_dup="latest")
 
 
-def test_small_and_large_sources_agree(spark, target, source, rows, tmp_path):
-    """Pairing by broadcast and by full outer join gives the same rows."""
-    source.write.parquet(str(tmp_path / "source"))
-    source = spark.read.parquet(str(tmp_path / "source"))
-
-    def every():
-        return [
-            rows(merge.merge_upsert(target, source, ["k"], stored_source=True)),
-            rows(merge.merge_actions(target, source, ["k"], "h", F.col("day") >= 10, stored_source=True)),
-        ]
-
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    saved = spark.conf.get(key)
-    spark.conf.set(key, str(1 << 40))
-    try:
-        assert merge.is_small(source)
-        small = every()
-        spark.conf.set(key, "-1")
-        assert not merge.is_small(source)
-        assert every() == small
-    finally:
-        spark.conf.set(key, saved)
+def test_every_mode_inserts_rows_without_a_key(target, source, rows):
+    for mode in ({}, {"on_dup": "unique"}, {"on_dup": "keep_all"}, {"on_dup": "latest", "order_by": [F.col("v").desc()]}):
+        assert rows(merge.merge_insert(target, source, ["k"], **mode), "k").count((None,)) == 1
+        assert rows(merge.merge_upsert(target, source, ["k"], **mode), "k").count((None,)) == 1
+        actions = rows(merge.merge_actions(target, source, ["k"], "h", F.col("day") >= 10, **mode), "k", "_action")
+        assert (None, "insert") in actions
+    good, bad = merge.split_keys(source, ["k"])
+    assert rows(good, "k") == [("a",), ("b",), ("e",)] and rows(bad, "k") == [(None,)]
+
+
+def test_a_bucketed_target_is_not_moved(spark, target, source, shuffle_joins):
+    spark.sql("DROP TABLE IF EXISTS merge_target")
+    target.write.bucketBy(4, "k").sortBy("k").saveAsTable("merge_target")
+    stored = spark.table("merge_target")
+    plan = merge._matched(stored, source, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    whole = merge.merge_upsert(stored, source, ["k"], on_dup="unique")
+    exchanged = [line for line in whole._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in line]
+    assert len(exchanged) <= 3  # the source for each of its two uses, and its keys
+    spark.sql("DROP TABLE merge_target")
