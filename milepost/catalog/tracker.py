@@ -116,7 +116,7 @@ def rejects(t):
 
 
 def capture_sends(t):
-    """Two sends per order on the day for most orders, an older day for the rest."""
+    """Two sends per order, the second with a padded key, on the day for most orders, an older day for the rest."""
     day = F.when(F.col("o_orderstatus") == "P", F.expr("timestamp_ntz'2024-01-14 12:00:00'")).otherwise(
         F.expr("timestamp_ntz'2024-01-15 00:30:00'")
     )
@@ -129,6 +129,7 @@ def capture_sends(t):
     later = one.withColumns({
         "FECHA_ENVIO": F.col("FECHA_ENVIO") + F.expr("INTERVAL 2 HOURS"),
         "NOMBRE": F.lower("NOMBRE"),
+        "NUM_RESERVA": F.concat(F.lit(" "), "NUM_RESERVA", F.lit(" ")),
     })
     return one.unionByName(later)
 
@@ -180,17 +181,21 @@ def match(t):
 
 
 @query("capture", f"""
-    WITH {_CAPTURE}
+    WITH {_CAPTURE},
+    s AS (SELECT * FROM orders WHERE o_orderpriority <> '5-LOW')
     SELECT coalesce(r, CAST(o_orderkey AS VARCHAR)) AS "NUM_RESERVA",
+      CASE WHEN r IS NULL THEN '519' || o_custkey ELSE tel END AS "FONO_CLI", coalesce(nombre, o_orderpriority) AS "NOMBRE",
       CASE WHEN r IS NULL THEN CASE WHEN o_orderpriority = '1-URGENT' THEN '-1' END ELSE la END AS "LATITUD",
+      CASE WHEN r IS NULL THEN CASE WHEN o_orderpriority = '1-URGENT' THEN '-2' END ELSE lo END AS "LONGITUD",
+      CASE WHEN r IS NOT NULL THEN f END AS "FECHA_COORDENADA",
+      CASE WHEN r IS NULL THEN o_orderdate ELSE TIMESTAMP '2024-01-15 18:30:00' END AS "FECHA_PROCESO",
       CASE WHEN r IS NULL THEN CASE WHEN o_orderpriority = '1-URGENT' THEN 'ENCONTRADA' ELSE 'SIN_RESPUESTA' END
            WHEN la IS NULL THEN 'SIN_RESPUESTA' ELSE 'ENCONTRADA' END AS "ESTADO",
-      coalesce(intentos, o_orderkey) AS "INTENTOS", coalesce(nombre, o_orderpriority) AS "NOMBRE"
-    FROM (SELECT * FROM orders WHERE o_orderpriority <> '5-LOW') s FULL JOIN m ON r = CAST(o_orderkey AS VARCHAR)
+      coalesce(intentos, o_orderkey) AS "INTENTOS"
+    FROM s FULL JOIN m ON r = CAST(o_orderkey AS VARCHAR)
 """)
 def capture(t):
-    out = tracker.capture(capture_sends(t), capture_state(t), feed(t), AS_OF)
-    return out.select("NUM_RESERVA", "LATITUD", "ESTADO", "INTENTOS", "NOMBRE")
+    return tracker.capture(capture_sends(t), capture_state(t), feed(t), AS_OF)
 
 
 @query("new_alerts", """

@@ -82,8 +82,8 @@ def message_candidates(
     Messaged reservations leave before the first line is picked: the pick then
     sorts only what is new.
     """
+    lines = lines.withColumn("NUM_RESERVA", key_text("NUM_RESERVA"))
     fresh = earliest_per_key(not_in_history(lines, sends, "NUM_RESERVA"), ["NUM_RESERVA"], ["FECHA_PROCESO", *tie])
-    fresh = fresh.withColumn("NUM_RESERVA", key_text("NUM_RESERVA"))
     return union_by_name(fresh, resend_candidates(coords, sends, as_of, fan_out))
 
 
@@ -146,8 +146,10 @@ def match_coordinates(
     """Answer of today's pending reservations, attempts counted.
 
     Today's last send per reservation, its saved state, the newest point of its
-    phone: found or still without answer, one attempt more either way.
+    phone: found or still without answer, one attempt more either way. Keys are made
+    canonical first, so that padded forms of one reservation count as one.
     """
+    sends, state = (df.withColumn("NUM_RESERVA", key_text("NUM_RESERVA")) for df in (sends, state))
     today = dedupe(sends.filter(on_day("FECHA_ENVIO", as_of)), ["NUM_RESERVA"], ["FECHA_ENVIO", *tie], keep="last")
     saved = state.select("NUM_RESERVA", "ESTADO", "INTENTOS")
     pending = pending_rows(with_state(today.drop("ESTADO", "INTENTOS"), saved, "NUM_RESERVA", {"INTENTOS": 0}))
@@ -157,7 +159,7 @@ def match_coordinates(
         {"latitud": "LATITUD", "longitud": "LONGITUD", "fecha": "FECHA_COORDENADA"}, what="feed",
     )
     return out.select(
-        key_text("NUM_RESERVA").alias("NUM_RESERVA"),
+        "NUM_RESERVA",
         "FONO_CLI",
         "NOMBRE",
         "LATITUD",
@@ -171,6 +173,7 @@ def match_coordinates(
 
 def capture(sends: DataFrame, state: DataFrame, feed: DataFrame, as_of: AsOf, **options) -> DataFrame:
     """New content of the coordinates table after one capture run (B26 + M3)."""
+    state = state.withColumn("NUM_RESERVA", key_text("NUM_RESERVA"))
     answered = match_coordinates(sends, state, feed, as_of, **options)
     return merge_upsert(state, answered, ["NUM_RESERVA"], on_dup="unique")
 

@@ -70,3 +70,17 @@ def test_lines_without_coords(spark, rows):
     assert rows(tracker.lines_without_coords(detail, header, AS_OF), "KEY") == [("3_p",), ("4_p",), ("5_p",)]
     assert tracker.lines_without_coords(detail, header, "2024-01-16 01:00:00").count() == 0
     assert tracker.lines_without_coords(detail, header, AS_OF, origins=[91]).count() == 0
+
+
+def test_padded_keys_of_one_reservation_count_once(spark, rows):
+    sends = spark.createDataFrame([("1", "912345678", "a", "2024-01-15 10:00:00"), (" 1 ", "912345678", "b", "2024-01-15 11:00:00")],
+                                  "NUM_RESERVA string, FONO_CLI string, NOMBRE string, f string")
+    sends = sends.select("NUM_RESERVA", "FONO_CLI", "NOMBRE", F.col("f").cast("timestamp_ntz").alias("FECHA_ENVIO"))
+    cols = ("NUM_RESERVA string, FONO_CLI string, NOMBRE string, LATITUD string, LONGITUD string, FECHA_COORDENADA string, "
+            "FECHA_PROCESO timestamp_ntz, ESTADO string, INTENTOS bigint")
+    state = spark.createDataFrame([("1 ", "912345678", "z", None, None, None, None, "SIN_RESPUESTA", 3)], cols)
+    feed = spark.createDataFrame([], "clientUid string, latitud string, longitud string, fecha string, posicion int")
+    once = tracker.capture(sends, state, feed, "2024-01-15 18:30:00")
+    assert rows(once, "NUM_RESERVA", "NOMBRE", "INTENTOS") == [("1", "b", 4)]
+    again = tracker.capture(sends, once, feed, "2024-01-15 18:30:00")
+    assert rows(again, "NUM_RESERVA", "INTENTOS") == [("1", 5)]
