@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,14 +30,18 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where the setting is missing (tests, a single machine) a temporary folder
-    is made and remembered in the session.
+    Where the setting is missing, a session on one machine (a ``local`` master, as in
+    tests) gets a temporary folder, remembered in the session; any other one fails,
+    as its executors could not see such a folder.
     """
     key = "spark.checkpoint.dir"
     found = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
     if not found:
         found = spark.conf.get("milepost.scratch.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         found = tempfile.mkdtemp(prefix="milepost-")
         spark.conf.set("milepost.scratch.dir", found)
     return found.rstrip("/")
