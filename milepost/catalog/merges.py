@@ -164,18 +164,20 @@ def stream_append_new(t):
     return t.spark.read.parquet(out).select("user_id", "event_type")
 
 
-@query("stream_coordinates", """
-    WITH pt AS (SELECT DISTINCT user_id FROM events WHERE event_type <> 'error')
-    SELECT CAST(o_orderkey AS VARCHAR) AS "NUM_RESERVA",
-           CASE WHEN user_id IS NULL THEN 'SIN_RESPUESTA' ELSE 'ENCONTRADA' END AS "ESTADO"
-    FROM orders LEFT JOIN pt ON user_id = o_custkey WHERE o_orderstatus <> 'P'
+@query("stream_coordinates", f"""
+    WITH {tracker_queries.CAPTURE},
+    n AS (SELECT DISTINCT o_orderkey, o_custkey, lower(o_orderpriority) AS nombre FROM orders WHERE o_orderstatus <> 'P')
+    SELECT CAST(o_orderkey AS VARCHAR) AS "NUM_RESERVA", '519' || o_custkey AS "FONO_CLI", n.nombre AS "NOMBRE",
+           pt.la AS "LATITUD", pt.lo AS "LONGITUD", pt.f AS "FECHA_COORDENADA", TIMESTAMP '2024-01-15 18:30:00' AS "FECHA_PROCESO",
+           CASE WHEN pt.la IS NULL THEN 'SIN_RESPUESTA' ELSE 'ENCONTRADA' END AS "ESTADO", CAST(1 AS BIGINT) AS "INTENTOS"
+    FROM n LEFT JOIN pt ON pt.tel = '519' || o_custkey
 """)
 def stream_coordinates(t):
+    """A feed in two batches: the newest point wins, and the run counts one attempt."""
     path = scratch_path(t.spark, "feed")
     feed = tracker_queries.feed(t)
     feed.repartitionByRange(2, "posicion").write.parquet(path)
     stream = t.spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(path)
     out, done = scratch_path(t.spark, "coords"), scratch_path(t.spark, "coords-progress")
-    sends = tracker_queries.capture_sends(t)
-    micro.stream_coordinates(stream, sends, out, tracker_queries.AS_OF, done).awaitTermination()
-    return read_version(t.spark, out, micro.COORDINATES).select("NUM_RESERVA", "ESTADO")
+    micro.capture_run(stream, tracker_queries.capture_sends(t), out, tracker_queries.AS_OF, done)
+    return read_version(t.spark, out, micro.COORDINATES)

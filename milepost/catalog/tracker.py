@@ -158,7 +158,7 @@ def feed(t):
     )
 
 
-_CAPTURE = """
+CAPTURE = """
     pt AS (SELECT '519' || user_id AS tel, '-' || CAST(value AS VARCHAR) AS la, CAST(event_id AS VARCHAR) AS lo,
                   strftime(ts, '%Y-%m-%d %H') AS f
            FROM events WHERE event_type <> 'error'
@@ -172,7 +172,7 @@ _CAPTURE = """
 
 
 @query("match_coordinates", f"""
-    WITH {_CAPTURE} SELECT r AS "NUM_RESERVA", tel AS "FONO_CLI", nombre AS "NOMBRE", la AS "LATITUD", lo AS "LONGITUD",
+    WITH {CAPTURE} SELECT r AS "NUM_RESERVA", tel AS "FONO_CLI", nombre AS "NOMBRE", la AS "LATITUD", lo AS "LONGITUD",
       f AS "FECHA_COORDENADA", TIMESTAMP '2024-01-15 18:30:00' AS "FECHA_PROCESO",
       CASE WHEN la IS NULL THEN 'SIN_RESPUESTA' ELSE 'ENCONTRADA' END AS "ESTADO", intentos AS "INTENTOS" FROM m
 """)
@@ -181,7 +181,7 @@ def match(t):
 
 
 @query("capture", f"""
-    WITH {_CAPTURE},
+    WITH {CAPTURE},
     s AS (SELECT * FROM orders WHERE o_orderpriority <> '5-LOW')
     SELECT coalesce(r, CAST(o_orderkey AS VARCHAR)) AS "NUM_RESERVA",
       CASE WHEN r IS NULL THEN '519' || o_custkey ELSE tel END AS "FONO_CLI", coalesce(nombre, o_orderpriority) AS "NOMBRE",

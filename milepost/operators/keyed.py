@@ -2,8 +2,7 @@
 
 None of them sends a whole hot group to one task. Row picks keep one row per key
 on the map side (``WindowGroupLimit`` before the exchange). Group values are
-partially aggregated first, and values of very large groups go back to their rows
-by broadcast, the others by a shuffle join.
+partially aggregated and go back to their rows by a join that AQE can split.
 """
 
 from __future__ import annotations
@@ -13,10 +12,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A group with more rows than this counts as hot. It bounds what is broadcast:
-#: there are at most ``total rows / HOT_ROWS`` hot groups.
-HOT_ROWS = 1_000_000
-
 Order = Sequence[Column | str]
 
 
@@ -49,33 +44,23 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], keep: st
     return latest_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order_by])
 
 
-def add_group_values(
-    df: DataFrame, keys: Sequence[str], values: Mapping[str, Column], hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def add_group_values(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
     """Add an aggregate of each row's group to the row.
 
     The same as ``agg().over(partitionBy(keys))``, without its whole-group task:
-    group values are pre-aggregated on the map side; groups above ``hot_rows``
-    (few by definition) are joined by broadcast, and their rows leave the shuffle
-    join spread over all partitions. NULL keys form one group, as in a window.
+    group values are pre-aggregated on the map side and joined back, one row per
+    group. The join carries a second key that is always 0, so that both sides get
+    their own exchange and AQE splits the partition of a hot group. NULL keys form
+    one group, as in a window.
     """
-    names, n_keys = list(values), len(keys)
-    groups = df.groupBy(*keys).agg(*[v.alias(n) for n, v in values.items()], F.count(F.lit(1)).alias("_n"))
-    groups = groups.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], F.struct(*names).alias("_v"), "_n")
-    key_names = [f"_g{i}" for i in range(n_keys)]
-    hot = groups.filter(F.col("_n") > hot_rows).withColumnRenamed("_v", "_hot")
-    cold = groups.filter(F.col("_n") <= hot_rows).withColumnRenamed("_v", "_cold")
-
-    out = df.join(F.broadcast(hot), _null_safe(df, keys, key_names), "left").drop("_n", *key_names)
-    # Rows of hot groups have their value already: a spread number keeps them from
-    # meeting in one partition. It is 0 for all others and on the right-hand side,
-    # where it must not look like a constant to the optimizer.
-    row_hash = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) + 1
-    spread = F.when(F.col("_hot").isNotNull(), row_hash).otherwise(F.lit(0).cast("bigint"))
-    cold = cold.withColumn("_zero", F.pmod(F.xxhash64(*key_names), F.lit(1).cast("bigint")))
-    joined = out.join(cold, _null_safe(out, keys, key_names) & (spread == F.col("_zero")), "left")
-    found = F.coalesce(F.col("_hot"), F.col("_cold"))
-    return joined.withColumns({n: found[n] for n in names}).drop("_hot", "_cold", "_n", "_zero", *key_names)
+    names, key_names = list(values), [f"_g{i}" for i in range(len(keys))]
+    groups = df.groupBy(*keys).agg(*[v.alias(n) for n, v in values.items()])
+    groups = groups.select(*[F.col(k).alias(g) for k, g in zip(keys, key_names)], F.struct(*names).alias("_v"))
+    # Always 0, but not a constant to the optimizer, which would drop the second key.
+    groups = groups.withColumn("_zero", F.pmod(F.xxhash64(*key_names), F.lit(1).cast("bigint")))
+    marked = df.withColumn("_none", F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint")))
+    joined = marked.join(groups, _null_safe(marked, keys, key_names) & (F.col("_none") == F.col("_zero")), "left")
+    return joined.withColumns({n: F.col("_v")[n] for n in names}).drop("_v", "_none", "_zero", *key_names)
 
 
 def _null_safe(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> Column:
@@ -86,16 +71,16 @@ def _null_safe(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> Colu
     return test
 
 
-def add_total(df: DataFrame, key: str, amount: Column, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def add_total(df: DataFrame, key: str, amount: Column, name: str) -> DataFrame:
     """Sum of an amount over the row's key, NULL amounts as 0, kept on each row."""
     exact = F.coalesce(amount.cast("decimal(38,9)"), F.lit(0).cast("decimal(38,9)"))
-    return add_group_values(df, [key], {name: F.sum(exact).cast("decimal(38,9)")}, hot_rows)
+    return add_group_values(df, [key], {name: F.sum(exact).cast("decimal(38,9)")})
 
 
-def add_any(df: DataFrame, key: str, flags: Mapping[str, Column], hot_rows: int = HOT_ROWS) -> DataFrame:
+def add_any(df: DataFrame, key: str, flags: Mapping[str, Column]) -> DataFrame:
     """1 when any row of the key meets the condition, else 0."""
     values = {name: F.max(F.when(cond, 1).otherwise(0)) for name, cond in flags.items()}
-    return add_group_values(df, [key], values, hot_rows)
+    return add_group_values(df, [key], values)
 
 
 def primary_flag(

@@ -171,8 +171,14 @@ def match_coordinates(
     )
 
 
-def capture(sends: DataFrame, state: DataFrame, feed: DataFrame, as_of: AsOf, **options) -> DataFrame:
-    """New content of the coordinates table after one capture run (B26 + M3)."""
+def capture(sends: DataFrame, state: DataFrame, feed: DataFrame | None, as_of: AsOf, **options) -> DataFrame:
+    """New content of the coordinates table after one capture run (B26 + M3).
+
+    Without a feed (the service did not answer) the run is skipped and no attempt is
+    counted; an answer without points counts one for everybody who is waiting.
+    """
+    if feed is None:
+        return state
     state = state.withColumn("NUM_RESERVA", key_text("NUM_RESERVA"))
     answered = match_coordinates(sends, state, feed, as_of, **options)
     return merge_upsert(state, answered, ["NUM_RESERVA"], on_dup="unique")

@@ -46,10 +46,13 @@ def append_jdbc(
     properties: Mapping[str, str] | None = None,
     writers: int = 8,
 ) -> None:
-    """Batched append of the listed columns, NULLs preserved (S10); at most ``writers`` connections."""
+    """Batched append of the listed columns, NULLs preserved (S10); at most ``writers`` connections.
+
+    The rows are dealt over the writers after the work, which keeps its own parallelism.
+    """
     (
         df.select(*cols)
-        .coalesce(writers)
+        .repartition(writers)
         .write.format("jdbc")
         .options(url=url, dbtable=table, batchsize=str(BATCH_ROWS), **(properties or {}))
         .mode("append")

@@ -99,9 +99,35 @@ def write_version(df: DataFrame, path: str, version: int | None = None) -> int:
     job leaves the old content in force.
     """
     spark = df.sparkSession
-    if version is None:
-        version = (versions(spark, path) or [-1])[-1] + 1
-    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    if version is not None:
+        df.write.mode("overwrite").parquet(f"{path}/version={version}")
+        return version
+    version = (versions(spark, path) or [-1])[-1] + 1
+    fs, claim = _path(spark, f"{path}/_writing-{version}")
+    if not fs.createNewFile(claim):
+        raise RuntimeError(f"another writer is at version {version} of {path}; after a crash, remove {claim}")
+    try:
+        df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    finally:
+        fs.delete(claim, False)
+    return version
+
+
+def claimed_version(spark: SparkSession, path: str, run: str, batch_id: int) -> int:
+    """Version that a streaming batch writes: a new one, or the same again if the batch is repeated.
+
+    ``run`` is the id that a checkpoint keeps, so batches of a fresh checkpoint go on
+    after the stored versions instead of starting over.
+    """
+    fs, folder = _path(spark, f"{path}/_batches")
+    prefix = f"{run}-{batch_id}-"
+    if fs.exists(folder):
+        for status in fs.listStatus(folder):
+            name = status.getPath().getName()
+            if name.startswith(prefix):
+                return int(name.removeprefix(prefix))
+    version = (versions(spark, path) or [-1])[-1] + 1
+    fs.createNewFile(_path(spark, f"{path}/_batches/{prefix}{version}")[1])
     return version
 
 
@@ -147,12 +173,19 @@ def lookup(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     return unique_on(df, keys, path)
 
 
-def read_upload(spark: SparkSession, path: str) -> DataFrame:
-    """Uploaded table: parquet, or delimited text with a header, every column as text."""
+def read_upload(spark: SparkSession, path: str, position: str | None = None) -> DataFrame:
+    """Uploaded table: parquet, or delimited text with a header, every column as text.
+
+    ``position`` names a column to add with a number that grows along the file, for
+    rules such as "the last row counts". A file is one upload, read by one task, as
+    its quoted fields may hold line ends.
+    """
     if path.endswith(".parquet"):
         df = spark.read.parquet(path)
-        return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+        df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    else:
+        df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return df.withColumn(position, F.monotonically_increasing_id()) if position else df
 
 
 def export_report(df: DataFrame, cols: Sequence[str], path: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Incremental forms of the batch operators as Structured Streaming micro-batches (ST1-ST3).
 
 All of them run on the ``availableNow`` trigger by default: a scheduled run
-takes what has arrived and stops. Results are versions of a table named after the
-batch, so a batch that is repeated after a failure writes the same version again
-from the same predecessor.
+takes what has arrived and stops. Results are versions of a table. A version
+remembers the batch it was written by, so a batch that is repeated after a failure
+writes the same version again from the same predecessor, and a fresh checkpoint
+goes on after what is stored.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from ..operators.joins import not_in_history
 from ..operators.keyed import Order, latest_per_key
 from ..plans import tracker
 from ..sources.schemas import COORDINATES
-from ..sources.tables import path_exists, read_version, write_version
+from ..sources.tables import claimed_version, path_exists, read_version, versions, write_version
 
 
 def _start(stream: DataFrame, step, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -50,8 +51,11 @@ def stream_upsert(
     schema = stream.schema
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        state = read_version(batch.sparkSession, path, schema, before=batch_id)
-        write_version(latest_state(state, batch, keys, order_by, schema), path, batch_id)
+        spark = batch.sparkSession
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        version = claimed_version(spark, path, run, batch_id)
+        state = read_version(spark, path, schema, before=version)
+        write_version(latest_state(state, batch, keys, order_by, schema), path, version)
 
     return _start(stream, step, checkpoint, trigger)
 
@@ -67,16 +71,30 @@ def stream_latest(stream: DataFrame, keys: Sequence[str], order_by: Sequence[str
     return latest.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in stream.columns])
 
 
-def stream_coordinates(
-    feed: DataFrame, sends: DataFrame, path: str, as_of: AsOf, checkpoint: str, trigger: dict | None = None, **options
-) -> StreamingQuery:
-    """Location capture per micro-batch of feed points; attempts grow by one per batch (ST2)."""
+def capture_run(
+    feed: DataFrame, sends: DataFrame, path: str, as_of: AsOf, checkpoint: str, trigger: dict | None = None,
+    time_format: str | None = None, **options,
+) -> bool:
+    """One location capture over what a feed stream has brought since the last run (ST2).
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        state = read_version(batch.sparkSession, path, COORDINATES, before=batch_id)
-        write_version(tracker.capture(sends, state, batch, as_of, **options), path, batch_id)
-
-    return _start(feed, step, checkpoint, trigger)
+    The points are folded to the newest one of each phone, however many batches they
+    come in, and kept in ``path``-points. Then one capture writes the next version of
+    ``path``, so an attempt counts once per run. A run without new feed rows is
+    skipped. Returns whether it captured.
+    """
+    spark, points = sends.sparkSession, f"{path}-points"
+    own = feed.filter(~tracker.is_blank("latitud") & ~tracker.is_blank("longitud"))
+    own = own.withColumn("clientUid", tracker.contact.phone_key("clientUid"))
+    when = tracker.parse_timestamp("fecha", time_format) if time_format else F.col("fecha")
+    known = len(versions(spark, points))
+    query = stream_upsert(own, points, ["clientUid"], [when.desc_nulls_last(), F.col("posicion").asc()], checkpoint, trigger)
+    query.awaitTermination()
+    if len(versions(spark, points)) == known:
+        return False
+    state = read_version(spark, path, COORDINATES)
+    newest = read_version(spark, points, own.schema)
+    write_version(tracker.capture(sends, state, newest, as_of, time_format=time_format, **options), path)
+    return True
 
 
 def stream_append_new(

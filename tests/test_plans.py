@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from milepost.catalog import QUERIES
 from milepost.operators.keyed import latest_per_key
 from milepost.plans import express, reasons
 
@@ -18,9 +18,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("stream_")])
 def test_no_cross_join_and_no_python(spark, name):
-    plan = plan_of(contract.queries()[name](spark, FOLDER))
+    plan = plan_of(QUERIES[name](spark, FOLDER))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert operator not in plan
 
@@ -48,7 +48,7 @@ def test_resync_window_reaches_the_scan(spark, tmp_path):
 
 
 def test_only_needed_columns_are_read(spark):
-    plan = plan_of(contract.queries()["star_enrich"](spark, FOLDER))
+    plan = plan_of(QUERIES["star_enrich"](spark, FOLDER))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert any(s == "o_orderkey:bigint,o_custkey:bigint" for s in schemas)
     assert not any("l_extendedprice" in s for s in schemas)

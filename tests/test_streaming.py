@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from milepost.operators.keyed import latest_per_key
-from milepost.sources.tables import read_version, versions
+from milepost.sources.tables import claimed_version, read_version, versions, write_version
 from milepost.streaming import micro
 
 
@@ -35,14 +35,44 @@ def test_upsert_keeps_the_newest(spark, source, tmp_path, rows):
     assert rows(read_version(spark, out, schema)) == rows(latest_per_key(spark.read.parquet(path), ["k"], newest()))
 
 
-def test_repeated_batch_writes_the_same(spark, source, tmp_path, rows):
-    """A batch run again from the start of its folder gives the same version."""
-    _, stream, schema = source
+def test_fresh_checkpoint_goes_on_after_what_is_stored(spark, source, tmp_path, rows):
+    path, stream, schema = source
+    out = str(tmp_path / "out")
+    micro.stream_upsert(stream, out, ["k"], newest(), str(tmp_path / "one")).awaitTermination()
+    write(spark, path, [("b", 9, "late")])
+    micro.stream_upsert(stream, out, ["k"], newest(), str(tmp_path / "two")).awaitTermination()
+    assert rows(read_version(spark, out, schema)) == [("a", 5, "y"), ("b", 9, "late")]
+    assert versions(spark, out) == [0, 1]
+
+
+def test_repeated_batch_claims_its_version_again(spark, tmp_path):
     out = str(tmp_path / "out")
-    for attempt in ("one", "two"):
-        micro.stream_upsert(stream, out, ["k"], newest(), str(tmp_path / attempt)).awaitTermination()
-        assert rows(read_version(spark, out, schema)) == [("a", 5, "y"), ("b", 1, "z")]
-        assert versions(spark, out) == [0]
+    assert claimed_version(spark, out, "run", 0) == 0 and claimed_version(spark, out, "run", 0) == 0
+    write_version(spark.range(1), out, 0)
+    assert [claimed_version(spark, out, "run", 0), claimed_version(spark, out, "run", 1), claimed_version(spark, out, "other", 0)] == [0, 1, 1]
+
+
+def test_second_writer_of_a_version_fails(spark, tmp_path):
+    out = tmp_path / "out"
+    write_version(spark.range(1), str(out))
+    (out / "_writing-1").touch()
+    with pytest.raises(RuntimeError, match="another writer"):
+        write_version(spark.range(2), str(out))
+
+
+def test_capture_run_counts_one_attempt_and_takes_the_newest_point(spark, tmp_path, rows):
+    path, out, done = str(tmp_path / "feed"), str(tmp_path / "coords"), str(tmp_path / "done")
+    kind = "clientUid string, latitud string, longitud string, fecha string, posicion int"
+    for part in ([("912", "-1", "-2", "2024-01-15 08", 0)], [("912", "-3", "-4", "2024-01-15 09", 0)]):
+        spark.createDataFrame(part, kind).coalesce(1).write.mode("append").parquet(path)
+    feed = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(path)
+    sends = spark.createDataFrame([("1", "912", "a"), ("2", "913", "b")], "NUM_RESERVA string, FONO_CLI string, NOMBRE string").withColumn(
+        "FECHA_ENVIO", F.expr("timestamp_ntz'2024-01-15 10:00:00'"))
+    as_of = "2024-01-15 18:30:00"
+    assert micro.capture_run(feed, sends, out, as_of, done)
+    assert rows(read_version(spark, out, micro.COORDINATES), "NUM_RESERVA", "LATITUD", "INTENTOS") == [("1", "-3", 1), ("2", None, 1)]
+    assert not micro.capture_run(feed, sends, out, as_of, done)
+    assert rows(read_version(spark, out, micro.COORDINATES), "NUM_RESERVA", "INTENTOS") == [("1", 1), ("2", 1)]
 
 
 def test_log_takes_each_key_once(spark, source, tmp_path, rows):
