@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..operators.joins import enrich, not_in_history
 from ..plans import express
+from ..session import scratch_path
+from ..sources.schemas import TRACKING
+from ..sources.tables import read_version
 from .registry import query
 from .services import pick, text
 
@@ -312,3 +315,40 @@ def digest(t):
     """Lines of the daily messages."""
     sends = express.classify_sends(answered(t)).withColumn("dia", F.col("FECHA_ENVIO").cast("date"))
     return express.digest(sends, by=["dia"])
+
+
+@query("express_chain", """
+    WITH e AS (
+      SELECT l_orderkey AS r, l_linenumber AS n, max(CASE WHEN l_quantity > 5 THEN l_shipdate END) AS prep,
+             bool_or(l_discount > 0.08 OR l_quantity > 48) AS malo FROM lineitem GROUP BY 1, 2)
+    SELECT CAST(l_orderkey AS VARCHAR) AS "NUM_RESERVA", TIMESTAMP '1998-06-15 19:20:00' AS "FECHA_ENVIO",
+           CASE WHEN l_orderkey % 3 = 0 THEN '500' ELSE '200' END AS "STATUS_API",
+           CASE WHEN l_orderkey % 3 = 0 THEN 'ERROR' ELSE 'ENVIADO' END AS "ESTADO", 'https://t/' || l_orderkey AS "TRACKING_URL",
+           CAST(trunc(sum(CAST(l_quantity AS DECIMAL(18,4)) * CAST(l_extendedprice AS DECIMAL(18,4)))) AS DOUBLE) AS "TOTAL"
+    FROM lineitem JOIN e ON r = l_orderkey AND n = l_linenumber
+    WHERE l_shipdate > TIMESTAMP '1998-06-14' AND l_shipdate < TIMESTAMP '1998-06-17' AND l_returnflag <> 'R'
+      AND l_linenumber <= 5 AND prep IS NOT NULL AND NOT malo
+    GROUP BY l_orderkey
+""")
+def chain(t):
+    """Extract, orders, dispatch and tracking over stored tables, run twice: the second run adds nothing."""
+    orders, products, sends, found = (scratch_path(t.spark, f"chain-{x}") for x in ("orders", "products", "sends", "tracking"))
+    zones = t.customer.select(text("c_nationkey").alias("region"), F.col("c_mktsegment").alias("city")).distinct()
+    districts = zones.select("region", "city", F.lit("x").alias("district"), F.lit("1").alias("UBIGEO"))
+    stores = t.supplier.select(text("s_suppkey").alias("CC"), F.col("s_name").alias("IDCARGO"))
+
+    def send(outbox):
+        key = F.col("NUM_RESERVA").cast("bigint")
+        return outbox.withColumns({
+            "STATUS": F.when(key % 3 == 0, "500").otherwise("200"),
+            "RESPONSE": F.concat(F.lit('{"tracking_url":"https://t/'), "NUM_RESERVA", F.lit('"}')),
+        })
+
+    lines = express.express_lines(detail(t), header(t), events(t), AS_OF)
+    for _ in range(2):
+        express.run_orders(t.spark, lines, orders, products, AS_OF)
+        places = express.geocode_worklist(read_version(t.spark, orders, express.ORDERS))
+        geocodes = places.select("DIRECCION_GEO", F.lit(-11.5).alias("lat"), F.lit(-76.123456).alias("lng"))
+        express.run_dispatch(t.spark, orders, products, sends, districts, stores, geocodes, AS_OF, send)
+        express.run_tracking(t.spark, sends, found)
+    return read_version(t.spark, found, TRACKING)

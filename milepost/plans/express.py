@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,9 +13,11 @@ from ..functions import fixed_values as fixed
 from ..functions.dates import AsOf, in_window, literal, moment, slot_open, text_timestamp
 from ..functions.text import key_text, line_key, strip
 from ..operators.joins import enrich, not_in_history, with_events
-from ..operators.merge import merge_update
-from ..sources.schemas import EXPRESS_LINES, PRODUCT
-from ..sources.tables import conform
+from ..operators.merge import merge_insert, merge_update
+from ..operators.quality import split_valid
+from ..session import written
+from ..sources.schemas import EXPRESS_LINES, ORDER_PRODUCTS, ORDERS, PRODUCT, SENDS, TRACKING
+from ..sources.tables import conform, read_version, write_version
 
 HEADER_COLUMNS = (
     "REGION_CLI", "CIUDAD_CLI", "COMUNA_CLI", "COMUNA_DESP", "CORREO_CLI", "DIRECCION_CLI", "DIRECCION_DESP",
@@ -350,3 +352,39 @@ def digest(tracking: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """
     found = tracking.filter((F.col("ESTADO") == fixed.SEND_OK) & F.col("TRACKING_URL").isNotNull())
     return found.select(*by, F.concat(F.lit("Reserva: "), key_text("NUM_RESERVA"), F.lit("\nTracking: "), "TRACKING_URL").alias("linea"))
+
+
+def run_orders(spark: SparkSession, lines: DataFrame, orders_path: str, products_path: str, as_of: AsOf) -> DataFrame:
+    """Consolidation over stored tables: orders not known yet and their products are added; returns the rejected orders."""
+    lines = written(lines, "express-lines")
+    good, rejected = split_valid(consolidate_orders(lines, as_of), F.col("RECHAZO").isNull())
+    orders, products = read_version(spark, orders_path, ORDERS), read_version(spark, products_path, ORDER_PRODUCTS)
+    fresh = conform(order_products(lines).join(good.select("NUM_RESERVA"), "NUM_RESERVA", "left_semi"), ORDER_PRODUCTS)
+    write_version(merge_insert(products, fresh, ["NUM_RESERVA"], on_dup="keep_all"), products_path)
+    write_version(merge_insert(orders, conform(good, ORDERS), ["NUM_RESERVA"], on_dup="unique"), orders_path)
+    return rejected
+
+
+def run_dispatch(
+    spark: SparkSession, orders_path: str, products_path: str, sends_path: str, districts: DataFrame, stores: DataFrame,
+    geocodes: DataFrame, as_of: AsOf, send: Callable[[DataFrame], DataFrame], **options,
+) -> None:
+    """Dispatch over stored tables: what ``send`` answers to the outbox is logged, coordinates go back to the orders.
+
+    ``send`` is the courier's client: it takes the outbox and returns it with STATUS and RESPONSE.
+    """
+    orders, sends = read_version(spark, orders_path, ORDERS), read_version(spark, sends_path, SENDS)
+    products = read_version(spark, products_path, ORDER_PRODUCTS)
+    outbox = written(dispatch_outbox(orders, sends, districts, stores, geocodes, as_of, products=products, **options), "outbox")
+    answered = send(outbox.filter(F.col("PAYLOAD").isNotNull())).unionByName(
+        outbox.filter(F.col("PAYLOAD").isNull()).withColumn("RESPONSE", F.lit(None).cast("string")), allowMissingColumns=True
+    )
+    write_version(sends.unionByName(conform(answered, SENDS, dict.fromkeys(("STATUS", "PAYLOAD", "RESPONSE")))), sends_path)
+    write_version(update_sent_coords(orders, outbox), orders_path)
+
+
+def run_tracking(spark: SparkSession, sends_path: str, tracking_path: str) -> None:
+    """Tracking over stored tables: states of the sends whose order has none yet."""
+    tracking = read_version(spark, tracking_path, TRACKING)
+    fresh = new_tracking(classify_sends(read_version(spark, sends_path, SENDS)), tracking)
+    write_version(tracking.unionByName(fresh.select(*TRACKING.fieldNames())), tracking_path)

@@ -40,10 +40,15 @@ EXPRESS_LINES = _schema(
 ORDERS = _schema(
     NUM_RESERVA=_TEXT, FECHA_CREACION=_LOCAL,
     **_texts("NOMBRE_CLI", "FONO_CLI", "DIRECCION_CLI", "REGION_CLI", "CIUDAD_CLI", "COMUNA_CLI"),
-    CC_DESPACHA=_LONG, LATITUD=_TEXT, LONGITUD=_TEXT, TOTAL=_NUMBER, PRODUCTOS=_TEXT,
+    CC_DESPACHA=_LONG, LATITUD=_TEXT, LONGITUD=_TEXT, TOTAL=_NUMBER,
     ENVIADO=_FLAG, FLAG_GEOCODIFICADO=_FLAG,
 )
 
+#: Products at line grain; ``ORDEN_1`` and ``ORDEN_2`` are the default order of an order's lines.
+ORDER_PRODUCTS = _schema(
+    NUM_RESERVA=_TEXT, ORDEN_1=_LOCAL, ORDEN_2=_TEXT, sku=_TEXT, nombre=_TEXT, cantidad=_NUMBER, precio=_NUMBER
+)
+
 SENDS = _schema(NUM_RESERVA=_TEXT, FECHA_ENVIO=_LOCAL, STATUS=_TEXT, PAYLOAD=_TEXT, RESPONSE=_TEXT)
 
 TRACKING = _schema(
