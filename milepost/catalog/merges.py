@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import in_window
 from ..operators.merge import merge_insert, merge_sync, merge_update, merge_upsert, split_keys
 from ..session import scratch_path
-from ..sources.tables import export_report, read_upload, read_version, write_table, write_version
+from ..sources.tables import export_report, lookup, read_or_empty, read_upload, read_version, write_table, write_version
 from ..streaming import micro
 from . import tracker as tracker_queries
 from .registry import query
@@ -136,6 +136,36 @@ def report(t):
     return read_upload(t.spark, path)
 
 
+@query("text_lookup", """
+    SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name FROM nation
+""")
+def text_lookup(t):
+    """A small text lookup with padded fields, read back trimmed."""
+    path = scratch_path(t.spark, "lookup")
+    padded = t.nation.select(F.col("n_nationkey").cast("string"), F.concat(F.lit(" "), "n_name", F.lit(" ")).alias("n_name"))
+    padded.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return lookup(t.spark, path, ["n_nationkey"])
+
+
+@query("replace_table", "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders WHERE o_orderstatus <> 'P'")
+def replace_table(t):
+    """A table created or replaced: the second content is all that is left."""
+    path = scratch_path(t.spark, "replaced")
+    write_table(source(t), path, "overwrite")
+    write_table(target(t), path, "overwrite", ["o_orderstatus"])
+    return read_or_empty(t.spark, path, target(t).schema)
+
+
+@query("missing_table", """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE lower(o_orderstatus) END AS o_orderstatus,
+           o_totalprice + 10 AS o_totalprice, o_orderdate FROM orders WHERE o_orderstatus <> 'F'
+""")
+def missing_table(t):
+    """A first merge into a table that does not exist yet."""
+    empty = read_or_empty(t.spark, scratch_path(t.spark, "missing"), source(t).schema)
+    return merge_upsert(empty, source(t), ["o_orderkey"])
+
+
 def _event_stream(t, name):
     """The events in several files, as a stream of one file per batch."""
     path = scratch_path(t.spark, name)
