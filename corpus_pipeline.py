@@ -45,7 +45,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Add the piece ids of every text; a text that its ids don't give back goes on by its decoded form."""
     prepared(spark)
     model = tokenizer("piece_bpe_32k.model")
-    both = pieces.decode(pieces.encode(docs.select(*COLUMNS), model), model)
+    both = pieces.encode(docs.select(*COLUMNS), model, decoded_col="decoded")
     return both.withColumn("text", F.col("decoded")).select(*COLUMNS, "piece_ids")
 
 

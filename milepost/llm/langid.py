@@ -95,7 +95,7 @@ def gram_counts(train: DataFrame, lang_col: str, text_col: str) -> DataFrame:
         yield from flush()
 
     rows = train.select(F.col(lang_col).cast("string").alias("lang"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(ragged.per_task(run), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 class Filters:
@@ -155,7 +155,7 @@ def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", size:
             used = np.flatnonzero(own[w])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), w, np.int32)), pa.array(used), pa.array(own[w][used].view(np.int64))], ["word", "slot", "bits"])
 
-    bits = kept.mapInArrow(set_bits, "word int, slot long, bits long").groupBy("word", "slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = kept.mapInArrow(ragged.per_task(set_bits), "word int, slot long, bits long").groupBy("word", "slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     table[bits["word"].to_numpy(), bits["slot"].to_numpy()] = bits["bits"].to_numpy().view(U64)
     return Filters(langs, table)
 

@@ -116,7 +116,7 @@ def word_counts(train: DataFrame) -> DataFrame:
                 keys, counts = keys[:0], counts[:0]
         yield out()
 
-    return train.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return train.select("text").mapInArrow(ragged.per_task(run), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Gru:
@@ -318,7 +318,7 @@ def train_pass(train: DataFrame, vocabulary, weights, spark) -> np.ndarray | Non
         total = np.sum(np.stack([x.values.to_numpy() for x in table["part"]]), axis=0) / n
         return pa.table({"at": [table["at"][0].as_py()], "part": pa.array([total], pa.list_(pa.float64()))})
 
-    parts = train.select("text").mapInArrow(run, "at long, n long, part array<double>").groupBy("at").applyInArrow(mean, "at long, part array<double>").collect()  # the weights
+    parts = train.select("text").mapInArrow(ragged.per_task(run), "at long, n long, part array<double>").groupBy("at").applyInArrow(mean, "at long, part array<double>").collect()  # the weights
     if not parts:
         return None
     return np.concatenate([np.array(r["part"], np.float32) for r in sorted(parts, key=lambda r: r["at"])])
@@ -364,7 +364,7 @@ def log_likelihoods(df: DataFrame, folds: int = 10, id_col: str = "doc_id", text
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = docs.select("id", "text", "held_out", F.xxhash64("text").alias("text_hash"))
-    scored = written(rows.mapInArrow(score, f"id {kind}, held_out boolean, text_hash long, n_tokens long, n_known long, base double, score double, rest array<long>"), "scored")
+    scored = written(rows.mapInArrow(ragged.per_task(score), f"id {kind}, held_out boolean, text_hash long, n_tokens long, n_known long, base double, score double, rest array<long>"), "scored")
     rare = scored.where(F.size("rest") > 0).dropDuplicates(["id", "text_hash"]).select("id", "text_hash", F.explode("rest").alias("word"))
     known = rare.join(counts, "word", "left").groupBy("id", "text_hash").agg(F.count("n").alias("more"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + F.lit(ADD))).alias("logs"))
     same = [F.col("id").eqNullSafe(F.col("_id")), F.col("text_hash") == F.col("_hash")]

@@ -32,7 +32,7 @@ from . import ragged
 SPACE = "▁"
 WORDS = re.compile(" +[^ ]*|^[^ ]+")
 #: Words remembered by a worker; beyond it the memory starts anew, results stay.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
 U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15)
 FAR = np.int64(1 << 40)
@@ -282,13 +282,27 @@ def added(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([f for f in df.schema if f.name != name] + [T.StructField(name, kind)])
 
 
-def encode(df: DataFrame, model: str, text_col: str = "text", ids_col: str = "piece_ids") -> DataFrame:
+def decoded(pieces: Pieces, raw: list[bytes]) -> pa.Array:
+    """Texts of little-endian 32-bit ids."""
+    get, texts = pieces.out.__getitem__, []
+    for ids in raw:
+        text = b"".join(map(get, np.frombuffer(ids, "<i4").tolist())).decode("utf-8", "replace")
+        texts.append(text[1:] if pieces.prefix and text[:1] == " " else text)
+    return pa.array(texts, pa.string())
+
+
+def encode(df: DataFrame, model: str, text_col: str = "text", ids_col: str = "piece_ids", decoded_col: str | None = None) -> DataFrame:
     """The frame with the piece ids of each whole text, without begin and end.
 
-    ``model`` is the path of a SentencePiece file, read by the driver only.
+    ``model`` is the path of a SentencePiece file, read by the driver only. With
+    ``decoded_col`` the ids are decoded again in the same pass.
     """
     shared = df.sparkSession.sparkContext.broadcast(Pieces(model))
-    schema, base = added(df, ids_col, T.ArrayType(T.IntegerType())), df.drop(ids_col)
+    new = [ids_col, decoded_col] if decoded_col else [ids_col]
+    base = df.drop(*new)
+    schema = added(base, ids_col, T.ArrayType(T.IntegerType()))
+    if decoded_col:
+        schema = schema.add(decoded_col, T.StringType())
     place = base.columns.index(text_col)
 
     def make():
@@ -302,7 +316,8 @@ def encode(df: DataFrame, model: str, text_col: str = "text", ids_col: str = "pi
                 raw += encoder.encode(texts.slice(low, high - low).to_pylist())
             ends = ragged.starts_of(np.fromiter(map(len, raw), np.int64, len(raw)) // 4)
             ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(raw), "<i4")))
-            return pa.RecordBatch.from_arrays([*batch.columns, ids], schema.names)
+            out = [ids, decoded(encoder.p, raw)] if decoded_col else [ids]
+            return pa.RecordBatch.from_arrays([*batch.columns, *out], schema.names)
 
         return handle
 
@@ -316,18 +331,10 @@ def decode(df: DataFrame, model: str, ids_col: str = "piece_ids", text_col: str
     place = base.columns.index(ids_col)
 
     def make():
-        pieces = shared.value
-        get = pieces.out.__getitem__
-
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-            column = batch.column(place)
-            texts = []
-            for row in range(len(column)):
-                ids = column[row].values
-                text = b"".join(map(get, ids.to_numpy(zero_copy_only=False).tolist())) if ids is not None else b""
-                text = text.decode("utf-8", "replace")
-                texts.append(text[1:] if pieces.prefix and text[:1] == " " else text)
-            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
+            rows = (x.values for x in batch.column(place))
+            raw = [b"" if ids is None else ids.to_numpy(zero_copy_only=False).astype("<i4").tobytes() for ids in rows]
+            return pa.RecordBatch.from_arrays([*batch.columns, decoded(shared.value, raw)], schema.names)
 
         return handle
 

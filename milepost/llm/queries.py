@@ -135,4 +135,4 @@ def op10(spark, folder):
 
     model = tokenizer("piece_bpe_32k.model")
     docs = load(spark, folder, "documents").select("doc_id", "text")
-    return pieces.digest(pieces.decode(pieces.encode(docs, model), model))
+    return pieces.digest(pieces.encode(docs, model, decoded_col="decoded"))

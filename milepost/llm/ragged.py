@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -115,6 +117,25 @@ def starts_of(counts: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(counts)))
 
 
+def release() -> None:
+    """Give memory that a finished task no longer uses back to the system; idle workers live on beside later ones."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
+def per_task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same function over the batches of a task, releasing memory at its end."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return whole
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply ``make()(batch)`` to the Arrow batches of every partition."""
 
@@ -124,5 +145,6 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
             handle = handle or make()
             if batch.num_rows:
                 yield handle(batch)
+        del handle
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(per_task(run), schema)

@@ -46,6 +46,8 @@ def test_piece_ids_equal_the_library(documents, texts, nothing):
         ids = known.encode(r["text"] or "")
         assert r["piece_ids"] == ids
         assert r["decoded"] == known.decode(ids) == (r["text"] or "").replace("▁", " ")
+    at_once = pieces.encode(documents, path, decoded_col="decoded")
+    assert sorted(map(repr, at_once.collect())) == sorted(map(repr, rows))
     for r in pieces.digest(both).collect():
         ids = known.encode(texts[r["doc_id"]] or "")
         assert (r["n_pieces"], r["ids_sha256"]) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
