@@ -142,9 +142,24 @@ class Suffixes:
 
 def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Whether data[a : a + size] equals data[b : b + size], pair by pair."""
-    row = ragged.row_of(size)
-    step = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-    return np.bincount(row, data[a[row] + step] != data[b[row] + step], len(size)) == 0
+    out = np.zeros(len(size), bool)
+    for low, high in ragged.slices(ragged.starts_of(size)):
+        n = size[low:high]
+        row = ragged.row_of(n)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        out[low:high] = np.bincount(row, data[a[low:high][row] + step] != data[b[low:high][row] + step], len(n)) == 0
+    return out
+
+
+def _by_bytes(data: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, members: np.ndarray, one: int, length: int) -> tuple[int, int]:
+    """Extents of one context by comparing windows of its group as bytes."""
+
+    def window(i: int, shift: int) -> bytes:
+        fits = length - right[i] <= shift <= left[i]
+        return data[at[i] - shift : at[i] - shift + length].tobytes() if fits else b""
+
+    hits = [s for s in range(max(0, length - right[one]), min(left[one], length - GRAM) + 1) if any(window(i, s) == window(one, s) for i in members if i != one)]
+    return (max(hits), length - min(hits)) if hits else (0, 0)
 
 
 def extents(data: np.ndarray, ends: np.ndarray, left: np.ndarray, copies: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,13 +211,16 @@ def extents(data: np.ndarray, ends: np.ndarray, left: np.ndarray, copies: np.nda
         order = np.argsort(key, kind="stable")
         i, j = order[:-1], order[1:]
         same = key[i] == key[j]
-        i, j = i[same], j[same]
-        same = _same_bytes(data, at[owner[i]] - shift[i], at[owner[j]] - shift[j], np.full(len(i), length))
-        hit = np.zeros(len(owner), bool)
-        hit[i[same]] = hit[j[same]] = True
-        hit &= open_[owner]
+        other = np.full(len(owner), -1)  # a window of equal hash
+        other[i[same]], other[j[same]] = j[same], i[same]
+        hit = np.flatnonzero((other >= 0) & open_[owner])
         np.maximum.at(got_l, owner[hit], shift[hit])
         np.maximum.at(got_r, owner[hit], length - shift[hit])
+        ends_ = hit[(shift[hit] == got_l[owner[hit]]) | (length - shift[hit] == got_r[owner[hit]])]
+        x, y = owner[ends_], owner[other[ends_]]
+        fine = _same_bytes(data, at[x] - shift[ends_], at[y] - shift[ends_], np.full(len(x), length))
+        for i in np.unique(x[~fine]):  # a collision of hashes: compare the windows themselves
+            got_l[i], got_r[i] = _by_bytes(data, at, left, right, np.flatnonzero(group == group[i]), i, length)
     return got_l, got_r
 
 
@@ -319,7 +337,7 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     cuts = written(ragged.map_batches(parts, lambda: cut, schema), "cuts")
 
     in_order = cuts.where("bytes IS NOT NULL").drop("ranges", "windows").repartition("gram").sortWithinPartitions("gram", "pos")
-    tied = in_order.mapInArrow(_sorting(length), f"id {id_kind}, text_hash long, start long, end long")
+    tied = in_order.mapInArrow(ragged.per_task(_sorting(length)), f"id {id_kind}, text_hash long, start long, end long")
     return equal.union(copied).union(tied).union(_hot_spans(cuts.where("windows IS NOT NULL"), length))
 
 
