@@ -1,17 +1,26 @@
 """Near-duplicates by b-bit MinHash over word shingles, with exact confirmation.
 
 Texts of equal shingle sets form one class, and only its smallest id goes on. The
-minima of 160 hash functions are taken in 32 bands of 5; of each minimum the low
-two bits are kept, packed into five 64-bit words. Documents that share a band are
+minima of 336 hash functions are taken in 48 bands of 7; of each minimum the low
+two bits are kept, packed into 64-bit words. Documents that share a band are
 candidates. Their similarity is estimated from the equal two-bit fields, corrected
 for the quarter that agrees by chance, and only candidates far below the threshold
-(over five standard deviations) are dropped before the full sets decide.
+are dropped before the full sets decide.
 
-Within a band's bucket each document is compared with the smallest id only, which
-joins most groups of copies at the cost of one comparison each. Documents of a
-bucket that are still in different components are then compared with each other,
-so that no link between components is lost. A pair at the threshold itself shares
-no band with a chance of 3 in a million.
+A bucket of m documents is not compared in m * m / 2 pairs. Links are found in three
+rounds, and what an earlier round has joined is not compared again:
+
+1. every document with the most central document of its buckets (the one whose
+   buckets are largest: the text that the others were made from is most like all);
+2. in buckets with several components, every document outside the largest one with
+   the most central member of that one;
+3. in buckets that still have several components, documents of different components
+   whose sizes and estimate allow a link.
+
+The third round makes the result independent of the choice of centres. A pair at the
+threshold itself shares no band with a chance of 1 in 80,000; the estimate of the
+third round drops it with a chance of 1 in 10,000, that of the first two with none
+to speak of.
 
 Null and empty texts have no shingles and are linked with nothing. Rows with the
 same id and text give equal results; an id with several texts is a vertex that all
@@ -29,11 +38,13 @@ from ..session import written
 from . import ragged
 from .components import components
 
-BANDS, ROWS = 32, 5
+BANDS, ROWS = 48, 7
 FIELDS = BANDS * ROWS
-WORDS = FIELDS * 2 // 64
-#: Estimated similarity may fall short of the threshold by this much before a candidate is dropped.
-MARGIN = 0.2
+WORDS = -(-FIELDS * 2 // 64)
+#: Estimates may fall short of the threshold by this much (standard deviation: 0.026), in the first rounds and the last.
+MARGIN, LAST_MARGIN = 0.2, 0.1
+#: Texts are looked up by this many hash slots at most, whose list is broadcast.
+SLOTS = 1 << 20
 U64 = np.uint64
 _MULT = (ragged.mix(np.arange(FIELDS, dtype=U64) + U64(7001)) >> U64(32)).astype(np.uint32) | np.uint32(1)
 _FLIP = (ragged.mix(np.arange(FIELDS, dtype=U64) + U64(9001)) >> U64(32)).astype(np.uint32)
@@ -65,7 +76,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.n
 
 
 def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys (rows x 32) and packed two-bit fields (rows x 5) of sets that aren't empty."""
+    """Band keys (rows x bands) and packed two-bit fields (rows x words) of sets that aren't empty."""
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     minima = np.zeros((FIELDS, len(sets)), np.uint32)
     at = 0
@@ -125,9 +136,11 @@ def estimate(a: str, b: str):
 
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    spark, kind = pairs.sparkSession, pairs.schema["a"].dataType.simpleString()
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    own = written(texts.join(needed, "id", "left_semi").dropDuplicates(["id", "text"]), "texts")
+    kind = pairs.schema["a"].dataType.simpleString()
+    slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS)).cast("int").alias("slot")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(slot).distinct()  # at most SLOTS rows
+    own = texts.join(F.broadcast(needed), slot == needed["slot"], "left_semi")
+    own = written(own, "texts")
     both = pairs.join(own.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(own.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -144,7 +157,6 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
         keep = pa.array(keep)
         return pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    assert spark is not None
     return ragged.map_batches(both.select("a", "b", "text_a", "text_b"), lambda: handle, f"a {kind}, b {kind}").distinct()
 
 
@@ -158,39 +170,57 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
         full.join(classes, ["set_a", "set_b"]).select("id", "rep", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands"), F.when(F.col("id") == F.col("rep"), F.col("bits")).alias("bits")),
         "members",
     )
+    several = member.select("id", "rep").where("id != rep")  # copies of one set
     reps = member.where("bands IS NOT NULL")
+    facts = written(reps.join(full.select("id", F.col("n_shingles").alias("size")).dropDuplicates(["id"]), "id").select("id", "bits", "size"), "facts")
     in_band = reps.select("id", F.explode("bands").alias("band"))
-    buckets = written(in_band.groupBy("band").agg(F.min("id").alias("leader"), F.max("id").alias("_top")).where("leader != _top").drop("_top"), "buckets")
-    shared = written(in_band.join(buckets, "band"), "shared")
-    bits = reps.select("id", "bits")
-    least = percent / 100 - MARGIN
+    buckets = written(in_band.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    shared = in_band.join(buckets, "band").groupBy("id").agg(F.sum("n").alias("central"), F.collect_list("band").alias("bands"))  # bands of one document
+    shared = written(shared, "shared")
+    member_of = written(shared.select(F.explode("bands").alias("band"), "id", "central"), "member-of")
 
-    def likely(pairs: DataFrame) -> DataFrame:
-        out = pairs.join(bits.select(F.col("id").alias("a"), F.col("bits").alias("bits_a")), "a")
-        out = out.join(bits.select(F.col("id").alias("b"), F.col("bits").alias("bits_b")), "b")
-        return out.where(estimate("bits_a", "bits_b") >= least).select("a", "b")
+    def centre(frame: DataFrame, *key: str) -> DataFrame:
+        """The most central id of each group, the smaller one of equals."""
+        return frame.groupBy(*key).agg(F.max_by("id", F.struct("central", F.negative("id"))).alias("centre"), F.count("*").alias("n"))
 
-    first = likely(shared.where("id != leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct())
-    first = written(first.groupBy("a").agg(F.min("b").alias("b")), "first")
-    several = member.select("id", "rep").where("id != rep")  # copies of one set
-    links = confirmed(first, texts, width, percent)
-    found = components(links)
-
-    labelled = shared.join(found, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
-    labelled = written(labelled, "labelled")
-    split = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("band")
-    open_ = written(labelled.join(split, "band"), "open")
-    x = open_.select("band", F.col("id").alias("a"), F.col("component").alias("component_a"))
-    y = open_.select("band", F.col("id").alias("b"), F.col("component").alias("component_b"))
-    pairs = x.join(y, "band").where("component_a < component_b").select("a", "b").distinct()
-    pairs = written(likely(pairs), "likely")
-    more = confirmed(pairs, texts, width, percent)
-    named = [found.select(F.col("id").alias(k), F.col("component").alias(f"c_{k}")) for k in ("a", "b")]
-    more = more.join(named[0], "a", "left").join(named[1], "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
-    joined = components(more).select(F.col("id").alias("component"), F.col("component").alias("joined"))
-    final = found.join(joined, "component", "left").select("id", F.coalesce("joined", "component").alias("component"))
-    alone = joined.join(found.select(F.col("id").alias("component")), "component", "left_anti").select(F.col("component").alias("id"), F.col("joined").alias("component"))
-    final = written(final.union(alone).dropDuplicates(["id"]), "final")
+    def likely(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose estimate is not far below the threshold."""
+        out = pairs.join(facts.select(F.col("id").alias("a"), F.col("bits").alias("bits_a")), "a")
+        out = out.join(facts.select(F.col("id").alias("b"), F.col("bits").alias("bits_b")), "b")
+        return written(out.where(estimate("bits_a", "bits_b") >= percent / 100 - MARGIN).select("a", "b"), "likely")
+
+    def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+        """Components joined by more links between documents."""
+        name = [found.select(F.col("id").alias(k), F.col("component").alias(f"c_{k}")) for k in ("a", "b")]
+        links = links.join(name[0], "a", "left").join(name[1], "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+        joined = components(links).select(F.col("id").alias("component"), F.col("component").alias("joined"))
+        old = found.join(joined, "component", "left").select("id", F.coalesce("joined", "component").alias("component"))
+        alone = joined.join(found.select(F.col("id").alias("component")), "component", "left_anti").select(F.col("component").alias("id"), F.col("joined").alias("component"))
+        return written(old.union(alone), "found")
+
+    def open_buckets(found: DataFrame) -> DataFrame:
+        """band, id, central, component in buckets with several components."""
+        labelled = written(member_of.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
+        split = written(labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("band"), "split")
+        return written(labelled.join(split, "band"), "open")
+
+    centres = written(centre(member_of, "band").select("band", "centre"), "centres")
+    asked = member_of.join(centres, "band").where("id != centre").groupBy("id", "centre").agg(F.count("*").alias("n"))
+    first = asked.groupBy(F.col("id").alias("a")).agg(F.max_by("centre", F.struct("n", F.negative("centre"))).alias("b"))
+    found = components(confirmed(likely(first), texts, width, percent))
+
+    split = open_buckets(found)
+    parts = centre(split, "band", "component")
+    main = written(parts.groupBy("band").agg(F.max(F.struct("n", F.negative("component").alias("c"), "centre")).alias("m")).select("band", F.negative("m.c").alias("main"), F.col("m.centre").alias("b")), "main")
+    second = split.join(main, "band").where("component != main").select(F.col("id").alias("a"), "b").distinct()
+    found = merged(found, confirmed(likely(second), texts, width, percent))
+
+    split = written(open_buckets(found).join(facts, "id").drop("central"), "rest")
+    x, y = (split.select("band", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "component", "bits", "size")]) for k in ("a", "b"))
+    fits = (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")) & (estimate("bits_a", "bits_b") >= percent / 100 - LAST_MARGIN)
+    third = x.join(y.withColumnRenamed("band", "band_b"), (F.col("band") == F.col("band_b")) & (F.col("component_a") < F.col("component_b")) & fits)
+    third = written(third.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), "third")
+    final = merged(found, confirmed(third, texts, width, percent))
 
     named = final.select(F.col("id").alias("rep"), "component")
     of = several.union(reps.select("id", "id")).toDF("id", "rep").join(named, "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
