@@ -35,7 +35,7 @@ from .langid import held_out
 
 ENTRIES, CLASSES = 4096, 64
 PER_CLASS = ENTRIES // CLASSES
-HIDDEN, STEPS = 24, 32
+HIDDEN, STEPS = 16, 32
 HEAD = 1 << 18
 WARM_ROWS = 512
 #: Documents that advance together in training and in scoring, and tokens that a task gathers before.
