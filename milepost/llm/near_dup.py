@@ -138,7 +138,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
     kind = pairs.schema["a"].dataType.simpleString()
     slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS)).cast("int").alias("slot")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(slot).distinct()  # at most SLOTS rows
+    sides = [pairs.select(F.col(c).alias("id")).select(slot).distinct() for c in ("a", "b")]
+    needed = sides[0].union(sides[1]).distinct()  # at most SLOTS rows
     own = texts.join(F.broadcast(needed), slot == needed["slot"], "left_semi")
     own = written(own, "texts")
     both = pairs.join(own.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
