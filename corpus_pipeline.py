@@ -20,11 +20,24 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(F.col("lang_pred") != langid.UND).select(*COLUMNS)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with a number each, written once: ids may be null, or those of several rows."""
+    return written(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), name)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each class: five-word shingles, similarity of 0.8 or more."""
+    """Keep one row of each class: five-word shingles, similarity of 0.8 or more.
+
+    It is the row with the smallest id, a null id being the largest; equal ids are told apart by their contents.
+    """
     prepared(spark)
-    found = near_dup.near_duplicates(docs.select("doc_id", "text"), width=5, percent=80)
-    return docs.select(*COLUMNS).join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    rows = numbered(docs, "numbered")
+    found = near_dup.near_duplicates(rows, width=5, percent=80, id_col="row").select("row", "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", F.xxhash64(*COLUMNS).alias("contents"), "row")
+    found = written(found.join(rows.select("row", order.alias("order")), "row"), "classes-of-rows")
+    keepers = found.groupBy("component_id").agg(F.min("order")["row"].alias("row")).select("row")
+    dropped = found.select("row").join(keepers, "row", "left_anti")
+    return rows.join(dropped, "row", "left_anti").select(*COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
