@@ -202,6 +202,22 @@ def predict(df: DataFrame, filters: Filters, text_col: str = "text", lang_col: s
     return ragged.map_batches(base, make, schema)
 
 
+def least_score(train: DataFrame, filters: Filters, lang_col: str = "lang", text_col: str = "text", percent: int = 1, part: float = 0.5) -> float:
+    """The score below which a text is in no learned language: ``part`` of the score that all but ``percent`` of the training rows reach.
+
+    Fitted on all training rows with a language and a letter; 0 where there are none.
+    Scores are counted in thousandths, so at most 1001 rows are gathered.
+    """
+    found = predict(train.where(F.col(lang_col).isNotNull()).select(text_col), filters, text_col).where(F.col("lang_pred") != UND)
+    counts = found.groupBy(F.floor(F.col("score") * 1000).cast("int").alias("at")).count().orderBy("at").collect()
+    total, seen = sum(r["count"] for r in counts), 0
+    for r in counts:
+        seen += r["count"]
+        if 100 * seen > percent * total:
+            return part * r["at"] / 1000
+    return 0.0
+
+
 def held_out(id_col: str, folds: int = 5):
     """Whether the CRC of the id as text is 0 modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds == 0
