@@ -58,8 +58,9 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold ten consecutive words of a benchmark item, or a whole shorter item."""
     prepared(spark)
-    found = decontaminate.contamination(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.select(*COLUMNS).join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    rows = numbered(docs, "numbered")
+    found = decontaminate.contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row")
+    return rows.join(found.where("contaminated").select("row"), "row", "left_anti").select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

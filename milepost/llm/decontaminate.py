@@ -12,7 +12,7 @@ which the operator counts first; beyond that they are joined by shuffle and the
 candidate places meet the words again by document.
 
 Null and empty texts have no words; items without words have no windows. Documents
-with equal id and text get equal rows; items with equal ids count once.
+with equal id and text get equal rows, also where the id is null; items with equal ids count once.
 """
 
 from __future__ import annotations
@@ -66,6 +66,12 @@ def prefixes(docs: DataFrame, wins: DataFrame, pairs: bool, small: bool) -> Data
     return best.where("best.places > 0").select("window", "n", F.col("best.shingle").alias("shingle"), F.col("best.shift").alias("shift"))
 
 
+def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join by id and text_hash, where null ids are equal."""
+    right = right.withColumnsRenamed({"id": "_id", "text_hash": "_hash"})
+    return left.join(right, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), how).drop("_id", "_hash")
+
+
 def occurrences(docs: DataFrame, items_windows: DataFrame, width: int) -> DataFrame:
     """id, text_hash, start, n, window: every exact occurrence of a window in a document."""
     small = items_windows.count() <= BROADCAST
@@ -80,7 +86,7 @@ def occurrences(docs: DataFrame, items_windows: DataFrame, width: int) -> DataFr
             found = shingled(docs, pairs).join(F.broadcast(keys), "shingle").where(fits & same)
         else:
             places = shingled(docs, pairs).select("id", "text_hash", "pos", "shingle").join(keys, "shingle")
-            found = docs.join(places.where(start >= 0).distinct(), ["id", "text_hash"]).where(fits & same)
+            found = joined(docs, places.where(start >= 0).distinct(), "inner").where(fits & same)
         found = found.select("id", "text_hash", start.alias("start"), "n", "window")
         out = found if out is None else out.union(found)
     if out is None:
@@ -111,9 +117,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 10, i
     hits = spans.select("id", "text_hash", F.aggregate("spans", none, add, lambda x: x["hit"]).cast("long").alias("n_hit"))
     named = found.select("id", "text_hash", "window").distinct().join(owners, "window").select("id", "text_hash", F.col("item_id").cast("string").alias("item"))
     named = named.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    both = hits.join(named, ["id", "text_hash"], "left")
+    both = joined(hits, named, "left")
     ids = F.coalesce("items", F.array().cast("array<string>"))
-    out = docs.select("id", "text_hash", F.size("words").cast("long").alias("n_words")).join(both, ["id", "text_hash"], "left")
+    out = docs.select("id", "text_hash", F.size("words").cast("long").alias("n_words"))
+    out = joined(out, both, "left")
     return out.select(
         F.col("id").alias(id_col),
         "n_words",

@@ -19,7 +19,8 @@ so equal windows have equal anchors, and only anchored suffixes need sorting:
 
 Texts are bytes of UTF-8; null and empty texts have none. Strings are judged on
 the input, overlaps count, and a repeat may lie in the same text. Rows with equal
-id and text are separate texts and cover each other. Other columns are not read.
+id and text are separate texts and cover each other, also where the id is null. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -330,7 +331,8 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     hot = contexts.groupBy("gram").count().where(F.col("count") > SORTED).select("gram", F.lit(True).alias("hot"))
     wanted = contexts.join(hot, "gram", "left").select("first.id", "first.text_hash", F.struct("gram", F.col("first.pos").alias("pos"), F.least("copies", F.lit(2)).cast("int").alias("copies"), F.coalesce("hot", F.lit(False)).alias("hot")).alias("x"))
     wanted = written(wanted.groupBy("id", "text_hash").agg(F.collect_list("x").alias("at")), "wanted")  # anchors of one text
-    parts = long.join(wanted, ["id", "text_hash"]).select("id", "text_hash", F.col("text").cast("binary").alias("text"), "at")
+    wanted = wanted.withColumnsRenamed({"id": "_id", "text_hash": "_hash"})
+    parts = long.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select("id", "text_hash", F.col("text").cast("binary").alias("text"), "at")
     cut = _contexts(length)
     schema = f"gram long, id {id_kind}, text_hash long, pos long, copies int, left int, bytes binary, ranges array<struct<range:int,low:int,core:long,hull:long,size:int,skip:int>>, windows array<long>"
     cut.schema = _arrow_schema(texts, schema)
@@ -373,8 +375,10 @@ def remove_repeats(df: DataFrame, length: int = 400, id_col: str = "doc_id", tex
     base = df.drop("spans", "kept", "text_hash").withColumn("text_hash", F.xxhash64(F.coalesce(text_col, F.lit(""))))
     texts = base.select(F.col(id_col).alias("id"), "text_hash", F.coalesce(text_col, F.lit("")).alias("text"))
     found = written(repeated_spans(texts, length).groupBy("id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
-    joined = base.join(found.withColumnsRenamed({"id": id_col}), [id_col, "text_hash"], "left").drop("text_hash")
-    joined = joined.select(*df.drop("spans", "kept", "text_hash").columns, "spans").withColumn("kept", F.col(text_col).cast("binary"))
+    base, found = base.alias("base"), found.alias("found")
+    same = F.col(f"base.{id_col}").eqNullSafe(F.col("found.id")) & (F.col("base.text_hash") == F.col("found.text_hash"))
+    joined = base.join(found, same, "left").select(*[F.col(f"base.{c}") for c in df.drop("spans", "kept", "text_hash").columns], "found.spans")
+    joined = joined.withColumn("kept", F.col(text_col).cast("binary"))
     names, n = joined.columns, len(joined.columns)
     schema = added(joined, "kept", T.StringType() if as_text else T.BinaryType())
 
