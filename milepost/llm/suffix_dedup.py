@@ -12,7 +12,8 @@ so equal windows have equal anchors, and only anchored suffixes need sorting:
    and backwards, by a mergesort that compares two suffixes by binary search over
    polynomial prefix hashes. Neighbours give the longest extensions of each anchor
    on either side. Where the two sides come from different partners, the hashes of
-   the windows themselves decide. What hashes call equal is compared byte by byte.
+   the windows themselves decide. What hashes call equal here is compared byte by
+   byte; equal contexts (2) and hot grams (4) are judged by their hashes alone.
 4. A gram with very many different contexts is not gathered: hashes of its windows
    are counted by Spark, in ranges first, then singly where a range is undecided.
 5. Spans are merged per document and cut out.
