@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure
 from ..sources.tables import load
-from . import decontaminate
+from . import decontaminate, merkle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -136,3 +136,9 @@ def op10(spark, folder):
     model = tokenizer("piece_bpe_32k.model")
     docs = load(spark, folder, "documents").select("doc_id", "text")
     return pieces.digest(pieces.encode(docs, model, decoded_col="decoded"))
+
+
+@query("op11_merkle_manifest", merkle.oracle())
+def op11(spark, folder):
+    """Merkle leaves, roots and proofs of all documents, and which of the tampered ones are found out."""
+    return merkle.audit(load(spark, folder, "documents"))
