@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure
 from ..sources.tables import load
-from . import decontaminate, merkle
+from . import decontaminate, merkle, spelling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -142,3 +142,9 @@ def op10(spark, folder):
 def op11(spark, folder):
     """Merkle leaves, roots and proofs of all documents, and which of the tampered ones are found out."""
     return merkle.audit(load(spark, folder, "documents"))
+
+
+@query("op12_spelling_variants", spelling.oracle())
+def op12(spark, folder):
+    """Words of all documents with their near words, the form they are a variant of, and its root."""
+    return spelling.variants(load(spark, folder, "documents"))
