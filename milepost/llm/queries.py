@@ -148,3 +148,11 @@ def op11(spark, folder):
 def op12(spark, folder):
     """Words of all documents with their near words, the form they are a variant of, and its root."""
     return spelling.variants(load(spark, folder, "documents"))
+
+
+@query("op13_substring_dedup")
+def op13(spark, folder):
+    """Documents without the passages of 50 words that a document with a smaller id has."""
+    from . import recompress
+
+    return recompress.digest(recompress.remove_repeats(load(spark, folder, "documents"), 50))
