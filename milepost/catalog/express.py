@@ -7,7 +7,6 @@ from ..operators.joins import enrich, not_in_history
 from ..plans import express
 from ..session import scratch_path
 from ..sources.schemas import TRACKING
-from ..sources.tables import read_version
 from .registry import query
 from .services import pick, text
 
@@ -332,7 +331,9 @@ def digest(t):
 """)
 def chain(t):
     """Extract, orders, dispatch and tracking over stored tables, run twice: the second run adds nothing."""
-    orders, products, sends, found = (scratch_path(t.spark, f"chain-{x}") for x in ("orders", "products", "sends", "tracking"))
+    paths = [scratch_path(t.spark, f"chain-{x}") for x in ("orders", "products", "sends", "tracking")]
+    orders, products = express.orders_table(paths[0], 16), express.products_table(paths[1], 16)
+    sends, found = paths[2:]
     zones = t.customer.select(text("c_nationkey").alias("region"), F.col("c_mktsegment").alias("city")).distinct()
     districts = zones.select("region", "city", F.lit("x").alias("district"), F.lit("1").alias("UBIGEO"))
     stores = t.supplier.select(text("s_suppkey").alias("CC"), F.col("s_name").alias("IDCARGO"))
@@ -347,8 +348,8 @@ def chain(t):
     lines = express.express_lines(detail(t), header(t), events(t), AS_OF)
     for _ in range(2):
         express.run_orders(t.spark, lines, orders, products, AS_OF)
-        places = express.geocode_worklist(read_version(t.spark, orders, express.ORDERS))
+        places = express.geocode_worklist(orders.read(t.spark))
         geocodes = places.select("DIRECCION_GEO", F.lit(-11.5).alias("lat"), F.lit(-76.123456).alias("lng"))
         express.run_dispatch(t.spark, orders, products, sends, districts, stores, geocodes, AS_OF, send)
         express.run_tracking(t.spark, sends, found)
-    return read_version(t.spark, found, TRACKING)
+    return t.spark.read.schema(TRACKING).parquet(found)

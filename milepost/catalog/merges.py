@@ -5,10 +5,13 @@ from pyspark.sql import functions as F
 from ..functions.dates import in_window
 from ..operators.merge import merge_insert, merge_sync, merge_update, merge_upsert, split_keys
 from ..session import scratch_path
-from ..sources.tables import export_report, lookup, read_or_empty, read_upload, read_version, write_table, write_version
+from ..sources.buckets import BucketTable, insert_buckets, sync_buckets, update_buckets, upsert_buckets
+from ..sources.schemas import COORDINATES
+from ..sources.tables import ensure_table, export_report, lookup, read_or_empty, read_upload, write_table
 from ..streaming import micro
 from . import tracker as tracker_queries
 from .registry import query
+from .services import text
 
 COLUMNS = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 
@@ -49,6 +52,10 @@ def upsert(t):
     return merge_upsert(target(t), source(t), ["o_orderkey"])
 
 
+def hashed(df):
+    return df.withColumn("huella", F.md5(F.concat("o_orderstatus", F.col("o_orderkey").cast("string"))))
+
+
 @query("merge_sync", """
     SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE lower(o_orderstatus) END AS o_orderstatus,
            CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice + 10 END AS o_totalprice, o_orderdate,
@@ -56,9 +63,6 @@ def upsert(t):
     FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '1998-06-11')
 """)
 def sync(t):
-    def hashed(df):
-        return df.withColumn("huella", F.md5(F.concat("o_orderstatus", F.col("o_orderkey").cast("string"))))
-
     window = in_window("o_orderdate", "1998-06-15", -4, None)
     return merge_sync(hashed(target(t)), hashed(source(t)), ["o_orderkey"], "huella", window)
 
@@ -115,15 +119,66 @@ def append_log(t):
            CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice + 10 END AS o_totalprice, o_orderdate FROM orders
 """)
 def table_versions(t):
-    """A stored table merged twice: each merge reads a version and writes the next."""
-    path = scratch_path(t.spark, "versions")
-    write_version(target(t), path)
-    schema = target(t).schema
-    write_version(merge_insert(read_version(t.spark, path, schema), source(t), ["o_orderkey"]), path)
-    write_version(
-        merge_update(read_version(t.spark, path, schema), source(t), ["o_orderkey"], ["o_totalprice"]), path
-    )
-    return read_version(t.spark, path, schema)
+    """A stored table merged twice: rows appended to their buckets, then the touched buckets rewritten."""
+    table = stored(t, target(t))
+    insert_buckets(table, source(t))
+    update_buckets(table, source(t), ["o_totalprice"])
+    return table.read(t.spark)
+
+
+def stored(t, rows, buckets=16):
+    """The rows as a bucketed table of their own."""
+    table = BucketTable(scratch_path(t.spark, "buckets"), rows.schema, ("o_orderkey",), buckets)
+    table.append(rows)
+    return table
+
+
+def few(df):
+    """Rows of the orders whose key is divisible by 997 alone: they touch few buckets of many."""
+    return df.filter(F.col("o_orderkey") % 997 == 0)
+
+
+@query("upsert_buckets", """
+    WITH s AS (SELECT *, o_orderstatus <> 'F' AND o_orderkey % 997 = 0 AS nuevo FROM orders)
+    SELECT o_orderkey, CASE WHEN nuevo THEN lower(o_orderstatus) ELSE o_orderstatus END AS o_orderstatus,
+           CASE WHEN nuevo THEN o_totalprice + 10 ELSE o_totalprice END AS o_totalprice, o_orderdate
+    FROM s WHERE o_orderstatus <> 'P' OR nuevo
+""")
+def bucket_upsert(t):
+    """Every stored order, with the few that arrive merged into their buckets; running the merge again changes nothing."""
+    table = stored(t, target(t), 64)
+    for _ in range(2):
+        upsert_buckets(table, few(source(t)))
+    return table.read(t.spark)
+
+
+@query("sync_buckets", """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE lower(o_orderstatus) END AS o_orderstatus,
+           CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice + 10 END AS o_totalprice, o_orderdate,
+           md5(CAST(CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE lower(o_orderstatus) END AS VARCHAR) || o_orderkey) AS huella
+    FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '1998-06-11')
+""")
+def bucket_sync(t):
+    """The stored form of the hash-guarded sync: whole rows are read and written only where one changes."""
+    table = stored(t, hashed(target(t)), 64)
+    for _ in range(2):
+        sync_buckets(table, hashed(source(t)), "huella", in_window("o_orderdate", "1998-06-15", -4, None))
+    return table.read(t.spark)
+
+
+@query("merge_clustered", """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE lower(o_orderstatus) END AS o_orderstatus,
+           CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice + 10 END AS o_totalprice, o_orderdate
+    FROM orders
+""")
+def merge_clustered(t):
+    """A merge into a catalog table that is clustered on its key: the table is not shuffled for it."""
+    path = scratch_path(t.spark, "clustered")
+    name = path.rpartition("/")[2].replace("-", "_")
+    rows = target(t)
+    ensure_table(t.spark, name, rows.schema, ["o_orderkey"], 16, path)
+    rows.write.insertInto(name, overwrite=True)
+    return merge_upsert(t.spark.table(name), source(t), ["o_orderkey"])
 
 
 @query("export_report", """
@@ -178,11 +233,13 @@ def _event_stream(t, name):
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """)
 def stream_latest(t):
+    """Three batches; each writes the users whose newest event it changes, and a compaction folds them."""
     out, done = scratch_path(t.spark, "latest"), scratch_path(t.spark, "latest-progress")
-    order = [F.col("ts").desc(), F.col("event_id").desc()]
     stream = _event_stream(t, "events")
-    micro.stream_upsert(stream, out, ["user_id"], order, done).awaitTermination()
-    return read_version(t.spark, out, t.events.schema)
+    key, order = ["user_id"], ["ts", "event_id"]
+    micro.stream_upsert(stream, out, key, order, done).awaitTermination()
+    micro.compact(t.spark, out, t.events.schema, key, order)
+    return micro.read_latest(t.spark, out, t.events.schema, key, order)
 
 
 @query("stream_append_new", "SELECT DISTINCT user_id, event_type FROM events")
@@ -208,6 +265,63 @@ def stream_coordinates(t):
     feed = tracker_queries.feed(t)
     feed.repartitionByRange(2, "posicion").write.parquet(path)
     stream = t.spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    out, done = scratch_path(t.spark, "coords"), scratch_path(t.spark, "coords-progress")
-    micro.capture_run(stream, tracker_queries.capture_sends(t), out, tracker_queries.AS_OF, done)
-    return read_version(t.spark, out, micro.COORDINATES)
+    points, done = scratch_path(t.spark, "points"), scratch_path(t.spark, "coords-progress")
+    state = BucketTable(scratch_path(t.spark, "coords"), COORDINATES, ("NUM_RESERVA",), 16)
+    micro.capture_run(stream, tracker_queries.capture_sends(t), state, points, tracker_queries.AS_OF, done)
+    return state.read(t.spark)
+
+
+def _by_day(t, df, time, name, since):
+    """The rows as a stream of three batches in time order, each file written after the one before."""
+    path = scratch_path(t.spark, name)
+    for low, high in zip(since, [*since[1:], "2100-01-01"]):
+        df.filter((F.col(time) >= low) & (F.col(time) < high)).coalesce(1).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+_PARTS = ["2000-01-01", "2024-01-10", "2024-01-20"]
+
+
+@query("stream_append_recent", """
+    WITH RECURSIVE d AS (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS dia FROM events),
+    r AS (SELECT user_id, event_type, min(dia) AS dia FROM d GROUP BY 1, 2
+          UNION ALL
+          SELECT d.user_id, d.event_type, min(d.dia) FROM r JOIN d ON d.user_id = r.user_id AND d.event_type = r.event_type
+            AND d.dia > r.dia + 4 GROUP BY d.user_id, d.event_type, r.dia)
+    SELECT user_id, event_type, dia FROM r
+""")
+def stream_append_recent(t):
+    """Events of a user and kind that had none logged in the four days before; the look-back reads those days only."""
+    out, done = scratch_path(t.spark, "recent"), scratch_path(t.spark, "recent-progress")
+    keyed = t.events.withColumn("clave", F.concat_ws("/", "user_id", "event_type"))
+    stream = _by_day(t, keyed, "ts", "recent-in", _PARTS)
+    micro.stream_append_recent(stream, out, "clave", "ts", 4, done).awaitTermination()
+    return t.spark.read.parquet(out).select("user_id", "event_type", "dia")
+
+
+@query("stream_attempts", """
+    WITH s AS (SELECT date_trunc('day', ts) AS dia, 'r' || (user_id * 3 + event_id % 3) AS r, arg_max(user_id, (ts, '519' || lpad(CAST(user_id AS VARCHAR), 8, '0'))) AS u
+               FROM events WHERE event_type IN ('error', 'view') GROUP BY 1, 2),
+    p AS (SELECT date_trunc('day', ts) AS dia, user_id AS u, max({'t': ts, 'la': CAST(value AS VARCHAR), 'lo': CAST(event_id AS VARCHAR)}) AS x
+          FROM events WHERE event_type = 'purchase' GROUP BY 1, 2),
+    w AS (SELECT least((SELECT max(ts) FROM events WHERE event_type IN ('error', 'view')), (SELECT max(ts) FROM events WHERE event_type = 'purchase')) - INTERVAL 6 HOUR AS hasta),
+    c AS (SELECT dia, r, x FROM s LEFT JOIN p USING (dia, u) WHERE dia + INTERVAL 1 DAY <= (SELECT hasta FROM w)),
+    f AS (SELECT r, min(dia) AS dia FROM c WHERE x IS NOT NULL GROUP BY r)
+    SELECT c.r AS "NUM_RESERVA", max(CASE WHEN c.dia = f.dia THEN x.la END) AS "LATITUD", max(CASE WHEN c.dia = f.dia THEN x.lo END) AS "LONGITUD",
+      max(CASE WHEN c.dia = f.dia THEN x.t END) AS "FECHA_COORDENADA", CASE WHEN max(f.dia) IS NULL THEN 'SIN_RESPUESTA' ELSE 'ENCONTRADA' END AS "ESTADO",
+      count(DISTINCT c.dia) AS "INTENTOS"
+    FROM c LEFT JOIN f USING (r) WHERE f.dia IS NULL OR c.dia <= f.dia GROUP BY c.r
+""")
+def stream_attempts(t):
+    """Attempts by event time: a reservation's day is closed by the watermark, with its phone's newest point or without answer."""
+    phone = F.concat(F.lit("519"), F.lpad(text("user_id"), 8, "0"))
+    sends = t.events.filter(F.col("event_type").isin("error", "view")).select(
+        F.concat(F.lit("r"), F.col("user_id") * 3 + F.col("event_id") % 3).alias("NUM_RESERVA"), phone.alias("FONO_CLI"), F.col("ts").alias("FECHA_ENVIO")
+    )
+    points = t.events.filter(F.col("event_type") == "purchase").select(
+        phone.alias("clientUid"), text("value").alias("latitud"), text("event_id").alias("longitud"), F.col("ts").alias("fecha")
+    )
+    out, done = scratch_path(t.spark, "closed"), scratch_path(t.spark, "closed-progress")
+    streams = _by_day(t, sends, "FECHA_ENVIO", "sends", _PARTS), _by_day(t, points, "fecha", "points", _PARTS)
+    micro.stream_closed(*streams, out, done, "6 hours").awaitTermination()
+    return micro.attempts(t.spark.read.parquet(out)).drop("DIA", "FONO_CLI")

@@ -1,7 +1,7 @@
 """Merge family on plain tables (M1-M4): each returns the new content of the target.
 
-A file table has no ``MERGE INTO``; the caller writes the result as a new version
-(``sources.tables.write_version``) or, for inserts, appends ``new_rows``.
+A file table has no ``MERGE INTO``; ``sources.buckets`` applies these to stored tables, rewriting
+only the buckets that a source touches.
 The target is left-joined to the source on its plain key columns, so a target that is
 bucketed on its keys is not moved and a hot key can be split; source rows that found no
 target row are added. The source is read for both, so pass a stored one where it is dear.

@@ -13,11 +13,12 @@ from ..functions import fixed_values as fixed
 from ..functions.dates import AsOf, in_window, literal, moment, slot_open, text_timestamp
 from ..functions.text import key_text, line_key, strip
 from ..operators.joins import enrich, not_in_history, with_events
-from ..operators.merge import merge_insert, merge_update
+from ..operators.merge import merge_update
 from ..operators.quality import split_valid
 from ..session import written
+from ..sources.buckets import BUCKETS, BucketTable, insert_buckets, update_buckets
 from ..sources.schemas import EXPRESS_LINES, ORDER_PRODUCTS, ORDERS, PRODUCT, SENDS, TRACKING
-from ..sources.tables import conform, read_version, write_version
+from ..sources.tables import conform, read_or_empty, write_table
 
 HEADER_COLUMNS = (
     "REGION_CLI", "CIUDAD_CLI", "COMUNA_CLI", "COMUNA_DESP", "CORREO_CLI", "DIRECCION_CLI", "DIRECCION_DESP",
@@ -28,6 +29,7 @@ ORDER_COLUMNS = (
     "NOMBRE_CLI", "FONO_CLI", "DIRECCION_CLI", "REGION_CLI", "CIUDAD_CLI", "COMUNA_CLI", "CC_DESPACHA",
     "LATITUD", "LONGITUD",
 )
+COORDINATE_COLUMNS = ("LATITUD", "LONGITUD", "FLAG_GEOCODIFICADO")
 
 
 def open_lines(
@@ -298,16 +300,19 @@ def dispatch_outbox(
     )
 
 
-def update_sent_coords(orders: DataFrame, outbox: DataFrame) -> DataFrame:
-    """Write the dispatched coordinates and the geocode flag back to the orders (M2)."""
-    src = outbox.select(
+def sent_coords(outbox: DataFrame) -> DataFrame:
+    """Dispatched coordinates and geocode flag of each order."""
+    return outbox.select(
         F.col("NUM_RESERVA").cast("string").alias("NUM_RESERVA"),
         F.coalesce(F.col("lat").cast("string"), F.col("LATITUD").cast("string")).alias("LATITUD"),
         F.coalesce(F.col("lng").cast("string"), F.col("LONGITUD").cast("string")).alias("LONGITUD"),
         "FLAG_GEOCODIFICADO",
     )
-    cols = ["LATITUD", "LONGITUD", "FLAG_GEOCODIFICADO"]
-    return merge_update(orders, src, ["NUM_RESERVA"], cols, on_dup="unique")
+
+
+def update_sent_coords(orders: DataFrame, outbox: DataFrame) -> DataFrame:
+    """Write the dispatched coordinates and the geocode flag back to the orders (M2)."""
+    return merge_update(orders, sent_coords(outbox), ["NUM_RESERVA"], COORDINATE_COLUMNS, on_dup="unique")
 
 
 def classify_sends(sends: DataFrame, keep_unreadable: bool = False) -> DataFrame:
@@ -354,37 +359,46 @@ def digest(tracking: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return found.select(*by, F.concat(F.lit("Reserva: "), key_text("NUM_RESERVA"), F.lit("\nTracking: "), "TRACKING_URL").alias("linea"))
 
 
-def run_orders(spark: SparkSession, lines: DataFrame, orders_path: str, products_path: str, as_of: AsOf) -> DataFrame:
+def orders_table(path: str, buckets: int = BUCKETS) -> BucketTable:
+    return BucketTable(path, ORDERS, ("NUM_RESERVA",), buckets)
+
+
+def products_table(path: str, buckets: int = BUCKETS) -> BucketTable:
+    return BucketTable(path, ORDER_PRODUCTS, ("NUM_RESERVA",), buckets)
+
+
+def run_orders(spark: SparkSession, lines: DataFrame, orders: BucketTable, products: BucketTable, as_of: AsOf) -> DataFrame:
     """Consolidation over stored tables: orders not known yet and their products are added; returns the rejected orders."""
     lines = written(lines, "express-lines")
-    good, rejected = split_valid(consolidate_orders(lines, as_of), F.col("RECHAZO").isNull())
-    orders, products = read_version(spark, orders_path, ORDERS), read_version(spark, products_path, ORDER_PRODUCTS)
+    found = written(consolidate_orders(lines, as_of), "express-orders")
+    good, rejected = split_valid(found, F.col("RECHAZO").isNull())
     fresh = conform(order_products(lines).join(good.select("NUM_RESERVA"), "NUM_RESERVA", "left_semi"), ORDER_PRODUCTS)
-    write_version(merge_insert(products, fresh, ["NUM_RESERVA"], on_dup="keep_all"), products_path)
-    write_version(merge_insert(orders, conform(good, ORDERS), ["NUM_RESERVA"], on_dup="unique"), orders_path)
+    insert_buckets(products, fresh, on_dup="keep_all")
+    insert_buckets(orders, conform(good, ORDERS), on_dup="unique")
     return rejected
 
 
 def run_dispatch(
-    spark: SparkSession, orders_path: str, products_path: str, sends_path: str, districts: DataFrame, stores: DataFrame,
+    spark: SparkSession, orders: BucketTable, products: BucketTable, sends_path: str, districts: DataFrame, stores: DataFrame,
     geocodes: DataFrame, as_of: AsOf, send: Callable[[DataFrame], DataFrame], **options,
 ) -> None:
-    """Dispatch over stored tables: what ``send`` answers to the outbox is logged, coordinates go back to the orders.
+    """Dispatch over stored tables: what ``send`` answers to the outbox is appended to the log, coordinates go back to the orders.
 
-    ``send`` is the courier's client: it takes the outbox and returns it with STATUS and RESPONSE.
+    ``send`` is the courier's client: it takes the outbox and returns it with STATUS and RESPONSE. What the log
+    has is not sent again. Coordinates are written back from the outbox, and only in the buckets of its orders.
     """
-    orders, sends = read_version(spark, orders_path, ORDERS), read_version(spark, sends_path, SENDS)
-    products = read_version(spark, products_path, ORDER_PRODUCTS)
-    outbox = written(dispatch_outbox(orders, sends, districts, stores, geocodes, as_of, products=products, **options), "outbox")
+    sends = read_or_empty(spark, sends_path, SENDS)
+    out = dispatch_outbox(orders.read(spark), sends, districts, stores, geocodes, as_of, products=products.read(spark), **options)
+    outbox = written(out, "outbox")
     answered = send(outbox.filter(F.col("PAYLOAD").isNotNull())).unionByName(
         outbox.filter(F.col("PAYLOAD").isNull()).withColumn("RESPONSE", F.lit(None).cast("string")), allowMissingColumns=True
     )
-    write_version(sends.unionByName(conform(answered, SENDS, dict.fromkeys(("STATUS", "PAYLOAD", "RESPONSE")))), sends_path)
-    write_version(update_sent_coords(orders, outbox), orders_path)
+    update_buckets(orders, sent_coords(outbox), COORDINATE_COLUMNS, on_dup="unique")
+    write_table(conform(answered, SENDS, dict.fromkeys(("STATUS", "PAYLOAD", "RESPONSE"))), sends_path, "append")
 
 
 def run_tracking(spark: SparkSession, sends_path: str, tracking_path: str) -> None:
-    """Tracking over stored tables: states of the sends whose order has none yet."""
-    tracking = read_version(spark, tracking_path, TRACKING)
-    fresh = new_tracking(classify_sends(read_version(spark, sends_path, SENDS)), tracking)
-    write_version(tracking.unionByName(fresh.select(*TRACKING.fieldNames())), tracking_path)
+    """Tracking over stored tables: states of the sends whose order has none yet are appended."""
+    tracking = read_or_empty(spark, tracking_path, TRACKING)
+    fresh = new_tracking(classify_sends(read_or_empty(spark, sends_path, SENDS)), tracking)
+    write_table(fresh.select(*TRACKING.fieldNames()), tracking_path, "append")

@@ -34,6 +34,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds; nothing happens where there is none."""
+    fs, target = _path(spark, path)
+    fs.delete(target, True)
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -55,9 +61,10 @@ def write_table(
 
 
 def ensure_table(
-    spark: SparkSession, name: str, schema: T.StructType, cluster_by: Sequence[str], buckets: int = 200
+    spark: SparkSession, name: str, schema: T.StructType, cluster_by: Sequence[str], buckets: int = 200,
+    path: str | None = None,
 ) -> None:
-    """Catalog table bucketed and sorted on its merge keys, created when absent.
+    """Catalog table bucketed and sorted on its merge keys, created when absent (S8), below ``path`` if given.
 
     Merges on those keys then read the target without a shuffle.
     """
@@ -65,72 +72,10 @@ def ensure_table(
     keys = ", ".join(f"`{k}`" for k in cluster_by)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet "
-        f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {int(buckets)} BUCKETS"
+        f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {int(buckets)} BUCKETS" + (f" LOCATION '{path}'" if path else "")
     )
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a table folder, oldest first."""
-    fs, target = _path(spark, path)
-    if not fs.exists(target):
-        return []
-    found = []
-    for status in fs.listStatus(target):
-        name = status.getPath().getName()
-        if name.startswith("version=") and fs.exists(_path(spark, f"{path}/{name}/_SUCCESS")[1]):
-            found.append(int(name.removeprefix("version=")))
-    return sorted(found)
-
-
-def read_version(
-    spark: SparkSession, path: str, schema: T.StructType, before: int | None = None
-) -> DataFrame:
-    """Newest complete version (older than ``before``), or an empty frame."""
-    found = [v for v in versions(spark, path) if before is None or v < before]
-    if not found:
-        return empty(spark, schema)
-    return spark.read.schema(schema).parquet(f"{path}/version={found[-1]}")
-
-
-def write_version(df: DataFrame, path: str, version: int | None = None) -> int:
-    """Write a merged table as its next version; readers switch once it is complete.
-
-    The version being read is never overwritten, so a lost executor or a failed
-    job leaves the old content in force.
-    """
-    spark = df.sparkSession
-    if version is not None:
-        df.write.mode("overwrite").parquet(f"{path}/version={version}")
-        return version
-    version = (versions(spark, path) or [-1])[-1] + 1
-    fs, claim = _path(spark, f"{path}/_writing-{version}")
-    if not fs.createNewFile(claim):
-        raise RuntimeError(f"another writer is at version {version} of {path}; after a crash, remove {claim}")
-    try:
-        df.write.mode("overwrite").parquet(f"{path}/version={version}")
-    finally:
-        fs.delete(claim, False)
-    return version
-
-
-def claimed_version(spark: SparkSession, path: str, run: str, batch_id: int) -> int:
-    """Version that a streaming batch writes: a new one, or the same again if the batch is repeated.
-
-    ``run`` is the id that a checkpoint keeps, so batches of a fresh checkpoint go on
-    after the stored versions instead of starting over.
-    """
-    fs, folder = _path(spark, f"{path}/_batches")
-    prefix = f"{run}-{batch_id}-"
-    if fs.exists(folder):
-        for status in fs.listStatus(folder):
-            name = status.getPath().getName()
-            if name.startswith(prefix):
-                return int(name.removeprefix(prefix))
-    version = (versions(spark, path) or [-1])[-1] + 1
-    fs.createNewFile(_path(spark, f"{path}/_batches/{prefix}{version}")[1])
-    return version
-
-
 def conform(df: DataFrame, schema: T.StructType, on_bad: Mapping[str, object] | None = None) -> DataFrame:
     """Cast text to a declared schema without failing (S3).
 

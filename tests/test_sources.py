@@ -26,17 +26,6 @@ def test_append_and_overwrite(spark, tmp_path):
         tables.write_table(df, path, "merge")
 
 
-def test_versions_skip_incomplete_writes(spark, tmp_path):
-    path = str(tmp_path / "t")
-    schema = spark.range(1).schema
-    assert tables.read_version(spark, path, schema).count() == 0
-    assert tables.write_version(spark.range(1), path) == 0
-    assert tables.write_version(spark.range(2), path) == 1
-    (tmp_path / "t" / "version=2").mkdir()
-    assert tables.read_version(spark, path, schema).count() == 2
-    assert tables.read_version(spark, path, schema, before=1).count() == 1
-
-
 def test_bucketed_table_joins_without_shuffling_it(spark, shuffle_joins):
     spark.sql("DROP TABLE IF EXISTS master_t")
     for _ in range(2):
