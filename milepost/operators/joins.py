@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import key_text
+from ..session import written
 from .keyed import Order, latest_per_key
 
 Keys = Sequence[str | tuple[Column | str, Column | str]]
@@ -248,3 +249,45 @@ def match_one(
 ) -> DataFrame:
     """At most one line per survey document, the first by ``worst_by``; the survey count never changes."""
     return enrich(surveys, lines, [(key, line_key)], cols, order_by=worst_by, what="lines")
+
+
+def split_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, cols: Sequence[str], rows: int = 2000, what: str = "left"
+) -> DataFrame:
+    """All pairs of rows with equal keys, where a key may be frequent on both sides.
+
+    AQE splits a hot partition of one side and repeats the other one whole, so a key that holds half of both
+    multiplies in one place. Here the rows of every key are counted on both sides (partial aggregation), and the
+    pairs of a key with more than ``rows`` rows on a side are cut into a rectangle of cells of ``rows`` by ``rows``
+    at most, on average: a left row falls into one row of cells by its hash and is repeated for the cells of it, a right
+    row into one column. Cells are keys of the join, so each goes to a task of its own. Other keys have one cell.
+
+    ``what`` is ``left`` (left rows without a partner stay, with NULLs) or ``inner``. ``cols`` are the right columns to add.
+    Rows that are equal in all columns fall into the same cell.
+    """
+    if what not in ("left", "inner"):
+        raise ValueError(f"what must be 'left' or 'inner', not {what!r}")
+    sizes = [df.groupBy(F.col(k).alias(f"_k{i}")).agg(F.count(F.lit(1)).alias(f"_n{i}")) for i, (df, k) in enumerate(((left, left_key), (right, right_key)))]
+    both = sizes[0].join(sizes[1], F.col("_k0") == F.col("_k1")).filter((F.col("_n0") > rows) | (F.col("_n1") > rows))
+    cells = [F.ceil(F.col(f"_n{i}") / rows).cast("int").alias(name) for i, name in enumerate(("_rows", "_columns"))]
+    hot = written(both.select(F.col("_k0").alias("_hot"), *cells), "hot-keys")
+
+    def placed(df: DataFrame, key: str, own: str, other: str, names: Sequence[str]) -> DataFrame:
+        """Rows with their own coordinate, once for every cell along the other one."""
+        row = F.xxhash64(*df.columns)
+        out = keyed_join(df, hot, [(df[key], "_hot")])
+        size = F.coalesce(own, F.lit(1))
+        return out.select(
+            *names, F.pmod(row, size).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)).alias(other),
+            F.col("_hot").isNotNull().alias("_split"),
+        )
+
+    a = placed(left, left_key, "_rows", "_columns", left.columns)
+    b = placed(right, right_key, "_columns", "_rows", right.columns)
+    b = b.select(F.col(right_key).alias("_key"), F.col("_rows").alias("_r"), F.col("_columns").alias("_c"), F.struct(*cols).alias("_right"))
+    test = (a[left_key] == F.col("_key")) & (F.col("_rows") == F.col("_r")) & (F.col("_columns") == F.col("_c"))
+    out = a.join(b, test, what)
+    if what == "left":
+        # A hot key has partners, but a cell of it may have none.
+        out = out.filter(~F.col("_split") | F.col("_right").isNotNull())
+    return out.select(*[F.col(c) for c in left.columns if c not in cols], *[F.col("_right")[c].alias(c) for c in cols])

@@ -173,3 +173,34 @@ def merge_sync(
     """Hash-guarded sync with a windowed delete (M4)."""
     out = merge_actions(target, src, keys, hash_col, delete_where, on_dup, order_by)
     return out.filter(F.col("_action") != "delete").drop("_action")
+
+
+def change_feed(
+    target: DataFrame, src: DataFrame, keys: Sequence[str], hash_col: str, delete_where: Column, on_dup: str = "error",
+    order_by: Order | None = None,
+) -> DataFrame:
+    """What a sync changes: keys, ``accion`` (insert, update, delete), ``antes`` and ``despues`` as structs.
+
+    It comes from the one full comparison that the sync needs anyway; what follows a load can read it in place
+    of the whole table. ``apply_changes`` gives the new content of the target.
+    """
+    marked = target.withColumn("_in_window", F.coalesce(delete_where, F.lit(False)))
+    paired = _pairs(marked, unique_source(src, keys, on_dup, order_by), keys)
+    t, s = F.col("_t"), F.col("_s")
+    action = F.when(t.isNull(), "insert").when(s.isNull() & t["_in_window"], "delete").when(t[hash_col] != s[hash_col], "update")
+    fields = [(f.name, f.dataType) for f in target.schema.fields]
+
+    def image(side: Column, there: Column) -> Column:
+        return F.when(there, F.struct(*[side[n].cast(kind).alias(n) for n, kind in fields]))
+
+    rows = paired.withColumn("accion", action).filter(F.col("accion").isNotNull())
+    return rows.select(
+        *[F.coalesce(t[k], s[k]).alias(k) for k in keys], "accion",
+        image(t, F.col("accion") != "insert").alias("antes"), image(s, F.col("accion") != "delete").alias("despues"),
+    )
+
+
+def apply_changes(target: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target after a ``change_feed``: rows without a change, and the new images. Keys are unique and filled."""
+    kept = target.join(feed.filter(F.col("accion") != "insert").select(*keys), list(keys), "left_anti")
+    return kept.unionByName(feed.filter(F.col("despues").isNotNull()).select("despues.*").select(*target.columns))
