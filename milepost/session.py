@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +50,37 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Scratch paths handed out within :func:`recorded`.
+_record: ContextVar[list[str] | None] = ContextVar("scratch_record", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if (record := _record.get()) is not None:
+        record.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Add the scratch paths handed out inside to ``paths``, for a later :func:`discard`."""
+    token = _record.set(paths)
+    try:
+        yield
+    finally:
+        _record.reset(token)
+
+
+def discard(spark: SparkSession, paths: list[str], unless_read_by: Iterable[DataFrame] = ()) -> None:
+    """Delete scratch folders and take them off the list, but for those that a given frame still reads."""
+    used = {f.partition(":")[2].lstrip("/") if ":" in f.split("/")[0] else f.lstrip("/") for df in unless_read_by for f in df.inputFiles()}
+    for path in list(paths):
+        bare = (path.partition(":")[2] if ":" in path.split("/")[0] else path).lstrip("/")
+        if not any(f.startswith(f"{bare}/") for f in used):
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            paths.remove(path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
