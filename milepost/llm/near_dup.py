@@ -7,20 +7,25 @@ candidates. Their similarity is estimated from the equal two-bit fields, correct
 for the quarter that agrees by chance, and only candidates far below the threshold
 are dropped before the full sets decide.
 
-A bucket of m documents is not compared in m * m / 2 pairs. Links are found in three
+A bucket of m documents is not compared in m * m / 2 pairs. Links are found in four
 rounds, and what an earlier round has joined is not compared again:
 
 1. every document with the most central document of its buckets (the one whose
    buckets are largest: the text that the others were made from is most like all);
 2. in buckets with several components, every document outside the largest one with
    the most central member of that one;
-3. in buckets that still have several components, documents of different components
-   whose sizes and estimate allow a link.
-
-The third round makes the result independent of the choice of centres. A pair at the
-threshold itself shares no band with a chance of 1 in 80,000; the estimate of the
-third round drops it with a chance of 1 in 10,000, that of the first two with none
-to speak of.
+3. documents that buckets with several components connect form a family; every member outside
+   the component of its most central one, c, is compared with c;
+4. what is left are pairs x, y of a family of which one isn't linked with c. Their sets are written as
+   differences from c: Dx = x ^ c. A link allows few elements in x ^ y = Dx ^ Dy, while Dx has more than a
+   link with c allows, so Dx and Dy must share elements: at least (|Dx| + |Dy| - most elements of x ^ y) / 2,
+   which is one or more, and much for members that differ from c in ways of their own. A prefix filter
+   finds the pairs that can: elements are ordered by rarity in the family, and the first one that is shared must
+   come early enough on both sides for the rest of them to follow.
+
+The fourth round makes the result independent of the choice of centres, and is exact but for the
+estimate. A pair at the threshold itself shares no band with a chance of 1 in 80,000; the estimate of
+the fourth round drops it with a chance of 1 in 10,000, that of the first three with none to speak of.
 
 Null and empty texts have no shingles and are linked with nothing. Rows with the
 same id and text give equal results; an id with several texts is a vertex that all
@@ -41,7 +46,7 @@ from .components import components
 BANDS, ROWS = 48, 7
 FIELDS = BANDS * ROWS
 WORDS = -(-FIELDS * 2 // 64)
-#: Estimates may fall short of the threshold by this much (standard deviation: 0.026), in the first rounds and the last.
+#: Estimates may fall short of the threshold by this much (standard deviation: 0.026), in the first rounds and in the last.
 MARGIN, LAST_MARGIN = 0.2, 0.1
 #: Texts are looked up by this many hash slots at most, whose list is broadcast.
 SLOTS = 1 << 20
@@ -134,9 +139,8 @@ def estimate(a: str, b: str):
     return ((1 - differ / F.lit(FIELDS)) - 0.25) / 0.75
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    kind = pairs.schema["a"].dataType.simpleString()
+def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b, text_a, text_b of the pairs."""
     slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS)).cast("int").alias("slot")
     sides = [pairs.select(F.col(c).alias("id")).select(slot).distinct() for c in ("a", "b")]
     needed = sides[0].union(sides[1]).distinct()  # at most SLOTS rows
@@ -144,21 +148,72 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     own = written(own, "texts")
     both = pairs.join(own.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(own.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    return both.select("a", "b", "text_a", "text_b")
+
+
+def set_pairs(batch: pa.RecordBatch, width: int):
+    """The two sorted shingle sets of each row of ``with_texts``; a right text that follows itself is split once."""
+    last = (None, None)
+    for x, right in zip(shingle_sets(*ragged.packed(batch.column(2)), width), batch.column(3), strict=True):
+        text = right.as_py()
+        if text != last[0]:
+            last = text, shingle_sets(*ragged.packed(pa.array([text], pa.large_string())), width)[0]
+        yield x, last[1]
+
+
+def differences(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """a, size (of its set), elements: those of the set of a or of the set of b, but not of both. Ids with several texts have rows for each."""
+    kind = pairs.schema["a"].dataType.simpleString()
 
     def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep, last = [], (None, None)
-        left = shingle_sets(*ragged.packed(batch.column(2)), width)
-        for x, right in zip(left, batch.column(3), strict=True):
-            text = right.as_py()
-            if text != last[0]:
-                last = text, shingle_sets(*ragged.packed(pa.array([text], pa.large_string())), width)[0]
-            y = last[1]
+        sizes, parts = [], []
+        for x, y in set_pairs(batch, width):
+            sizes.append(len(x))
+            parts.append(np.setxor1d(x, y, assume_unique=True))
+        ends = pa.array(ragged.starts_of(np.fromiter(map(len, parts), np.int64, len(parts))).astype(np.int32))
+        values = pa.array(np.concatenate(parts).view(np.int64))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(ends, values)], ["a", "size", "elements"])
+
+    both = with_texts(pairs, texts).sortWithinPartitions("b")
+    return ragged.map_batches(both, lambda: handle, f"a {kind}, size long, elements array<long>")
+
+
+def sharing(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs a < b of one family and different components whose differences from its centre share enough to be linked.
+
+    ``members`` has family, id, version (of the id's texts), component, size and elements. If x and y are linked, the first element that
+    their differences share (in an order common to the family) has as many after it on both sides as must be shared.
+    """
+    most, far = 100 - percent, 100 + percent  # linked sets differ in most / far of their sizes' sum, at the most
+    each = members.select("family", "id", "version", F.explode("elements").alias("element"))
+    rare = written(each.groupBy("family", "element").agg(F.count("*").alias("n")), "rarity")
+    ranked = each.join(rare, ["family", "element"]).groupBy("family", "id", "version").agg(F.array_sort(F.collect_list(F.struct("n", "element"))).alias("ranked"))  # of one document
+    places = ranked.join(members.select("family", "id", "version", "component", "size"), ["family", "id", "version"])
+    places = places.select("family", "id", "component", "size", F.size("ranked").alias("all"), F.posexplode("ranked").alias("place", "x"))
+    # No partner is larger than 100 / percent of the size, and its difference is not shorter by more than a link allows.
+    furthest = F.floor(most * F.col("size") / F.lit(percent))
+    entries = written(places.where((F.col("x.n") > 1) & (F.col("place") <= furthest)).select("family", "id", "component", "size", "all", "place", F.col("x.element").alias("element")), "prefixes")
+    x, y = (entries.select("family", "element", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "component", "size", "all", "place")]) for k in ("a", "b"))
+    must = F.ceil((far * (F.col("all_a") + F.col("all_b")) - most * (F.col("size_a") + F.col("size_b"))) / F.lit(2 * far))
+    fits = 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
+    early = (F.col("place_a") <= F.col("all_a") - must) & (F.col("place_b") <= F.col("all_b") - must)
+    pairs = x.join(y.withColumnsRenamed({"family": "family_b", "element": "element_b"}), (F.col("family") == F.col("family_b")) & (F.col("element") == F.col("element_b")) & (F.col("component_a") < F.col("component_b")) & fits & early)
+    return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+    kind = pairs.schema["a"].dataType.simpleString()
+
+    def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for x, y in set_pairs(batch, width):
             shared = len(np.intersect1d(x, y, assume_unique=True))
             keep.append(bool(shared) and 100 * shared >= percent * (len(x) + len(y) - shared))
         keep = pa.array(keep)
         return pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    return ragged.map_batches(both.select("a", "b", "text_a", "text_b"), lambda: handle, f"a {kind}, b {kind}").distinct()
+    return ragged.map_batches(with_texts(pairs, texts), lambda: handle, f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -184,11 +239,11 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
         """The most central id of each group, the smaller one of equals."""
         return frame.groupBy(*key).agg(F.max_by("id", F.struct("central", F.negative("id"))).alias("centre"), F.count("*").alias("n"))
 
-    def likely(pairs: DataFrame) -> DataFrame:
+    def likely(pairs: DataFrame, margin: float = MARGIN) -> DataFrame:
         """Pairs (a, b) whose estimate is not far below the threshold."""
         out = pairs.join(facts.select(F.col("id").alias("a"), F.col("bits").alias("bits_a")), "a")
         out = out.join(facts.select(F.col("id").alias("b"), F.col("bits").alias("bits_b")), "b")
-        return written(out.where(estimate("bits_a", "bits_b") >= percent / 100 - MARGIN).select("a", "b"), "likely")
+        return written(out.where(estimate("bits_a", "bits_b") >= percent / 100 - margin).select("a", "b"), "likely")
 
     def merged(found: DataFrame, links: DataFrame) -> DataFrame:
         """Components joined by more links between documents."""
@@ -216,12 +271,25 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
     second = split.join(main, "band").where("component != main").select(F.col("id").alias("a"), "b").distinct()
     found = merged(found, confirmed(likely(second), texts, width, percent))
 
-    split = written(open_buckets(found).join(facts, "id").drop("central"), "rest")
-    x, y = (split.select("band", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "component", "bits", "size")]) for k in ("a", "b"))
-    fits = (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")) & (estimate("bits_a", "bits_b") >= percent / 100 - LAST_MARGIN)
-    third = x.join(y.withColumnRenamed("band", "band_b"), (F.col("band") == F.col("band_b")) & (F.col("component_a") < F.col("component_b")) & fits)
-    third = written(third.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), "third")
-    final = merged(found, confirmed(third, texts, width, percent))
+    split = open_buckets(found)
+    lowest = written(split.groupBy("band").agg(F.min("id").alias("b")), "lowest")
+    family = components(split.join(lowest, "band").select(F.col("id").alias("a"), "b")).select("id", F.col("component").alias("family"))
+    member = written(split.select("id", "central", "component").distinct().join(family, "id"), "families")
+    middle = member.groupBy("family").agg(F.max_by(F.struct("id", "component"), F.struct("central", F.negative("id"))).alias("c"))
+    middle = written(middle.select("family", F.col("c.id").alias("b"), F.col("c.component").alias("main")), "middles")
+    around = written(member.join(middle, "family"), "around")
+    third = around.where("component != main").select(F.col("id").alias("a"), "b")
+    found = merged(found, confirmed(likely(third), texts, width, percent))
+
+    around = around.drop("component", "main").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    around = written(around, "around")
+    apart = written(around.groupBy("family").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("family"), "apart")
+    left = written(around.join(apart, "family").select("family", "id", "component", "b"), "left")
+    parts = differences(left.select(F.col("id").alias("a"), "b"), texts, width).withColumnRenamed("a", "id")
+    parts = parts.withColumn("version", F.xxhash64("size", "elements")).dropDuplicates(["id", "version"])
+    parts = written(parts.join(left.select("family", "id", "component"), "id"), "differences")
+    fourth = likely(written(sharing(parts, percent), "fourth"), LAST_MARGIN)
+    final = merged(found, confirmed(fourth, texts, width, percent))
 
     named = final.select(F.col("id").alias("rep"), "component")
     of = several.union(reps.select("id", "id")).toDF("id", "rep").join(named, "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
