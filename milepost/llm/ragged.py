@@ -136,15 +136,16 @@ def per_task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
     return whole
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
-    """Apply ``make()(batch)`` to the Arrow batches of every partition."""
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, rows: int | None = None) -> DataFrame:
+    """Apply ``make()(batch)`` to the Arrow batches of every partition, cut to ``rows`` rows each if given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         handle = None
         for batch in batches:
             handle = handle or make()
-            if batch.num_rows:
-                yield handle(batch)
+            step = rows or max(batch.num_rows, 1)
+            for at in range(0, batch.num_rows, step):
+                yield handle(batch.slice(at, step))
         del handle
 
     return df.mapInArrow(per_task(run), schema)

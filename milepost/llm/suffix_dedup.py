@@ -45,7 +45,9 @@ PLACE = 22  # bits for a position within a segment
 #: Different contexts of one gram that a task sorts; grams with more are counted by Spark instead.
 SORTED = 8_000
 #: Bytes of contexts that a task sorts together.
-TOGETHER = 4 << 20
+TOGETHER = 2 << 20
+#: Texts whose contexts a task cuts at once.
+CUT_ROWS = 256
 
 
 def _anchors(data: np.ndarray, bounds: np.ndarray, length: int) -> np.ndarray:
@@ -337,7 +339,7 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     cut = _contexts(length)
     schema = f"gram long, id {id_kind}, text_hash long, pos long, copies int, left int, bytes binary, ranges array<struct<range:int,low:int,core:long,hull:long,size:int,skip:int>>, windows array<long>"
     cut.schema = _arrow_schema(texts, schema)
-    cuts = written(ragged.map_batches(parts, lambda: cut, schema), "cuts")
+    cuts = written(ragged.map_batches(parts, lambda: cut, schema, CUT_ROWS), "cuts")
 
     in_order = cuts.where("bytes IS NOT NULL").drop("ranges", "windows").repartition("gram").sortWithinPartitions("gram", "pos")
     tied = in_order.mapInArrow(ragged.per_task(_sorting(length)), f"id {id_kind}, text_hash long, start long, end long")
