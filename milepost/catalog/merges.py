@@ -8,6 +8,7 @@ from ..session import scratch_path
 from ..sources.buckets import BucketTable, insert_buckets, sync_buckets, update_buckets, upsert_buckets
 from ..sources.schemas import COORDINATES
 from ..sources.tables import ensure_table, export_report, lookup, read_or_empty, read_upload, write_table
+from ..sources.uploads import read_upload_split
 from ..streaming import micro
 from . import tracker as tracker_queries
 from .registry import query
@@ -191,6 +192,20 @@ def report(t):
     return read_upload(t.spark, path)
 
 
+@query("upload_split", """
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus || chr(10) || '"' || o_orderpriority || '", ' || chr(10) AS note,
+           row_number() OVER (ORDER BY o_orderkey) - 1 AS row_no FROM orders
+""")
+def upload_split(t):
+    """An upload of several files with line ends and quotes in its fields, read by splits, with the place of each row."""
+    path = scratch_path(t.spark, "upload")
+    note = F.concat("o_orderstatus", F.lit('\n"'), "o_orderpriority", F.lit('", \n'))
+    rows = t.orders.select(F.col("o_orderkey").cast("string"), note.alias("note"), F.col("o_orderkey").alias("key"))
+    ordered = rows.repartitionByRange("key").sortWithinPartitions("key").drop("key")
+    ordered.write.option("header", True).option("escape", '"').option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_upload_split(t.spark, path, position="row_no")
+
+
 @query("text_lookup", """
     SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name FROM nation
 """)
