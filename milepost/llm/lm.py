@@ -10,12 +10,18 @@ probabilities of all texts sum to one. It is a GRU in numpy with a softmax facto
 in 64 classes of 64 entries in order of frequency. Its output biases start at the
 smoothed counts, where its score equals the base score. It is trained by truncated
 backpropagation: a warm-up over ``WARM_ROWS`` documents gives common weights, then
-every task passes once over all its training documents from there, and the weights
-are averaged by tokens. Hidden states are carried from window to window, in
-training without their gradients, so a score covers the complete document.
+the training documents, dealt by a hash of id and text into groups of about
+``GROUP_TOKENS`` tokens, are passed once, each group from there, and the weights
+are averaged by tokens. Groups and the order within them follow from the rows alone, so
+scores don't depend on how rows are partitioned. Hidden states are carried from window to
+window, in training without their gradients, so a score covers the complete document.
+
+Texts are read once for counts and once for their entries in the model, two bytes a
+token, which training and scoring use.
 
 A null or empty text is one end. Rows with equal id and text get equal scores.
-Words are told apart by 64-bit hashes. Other columns are not read. With no
+Rows that repeat id and text are counted first and dealt into groups copy by copy, so
+no group grows with them. Words are told apart by 64-bit hashes. Other columns are not read. With no
 training rows every word is unknown and the score equals the base score.
 """
 
@@ -40,6 +46,10 @@ HEAD = 1 << 18
 WARM_ROWS = 512
 #: Documents that advance together in training and in scoring, and tokens that a task gathers before.
 LANES, SCORE_LANES, GATHERED = 320, 1024, 3_000_000
+#: Tokens of a training group; from ``MOST_GROUPS`` groups on, which bounds the averaging, groups get larger, in chunks of ``GATHERED``.
+GROUP_TOKENS, MOST_GROUPS = 2_000_000, 8192
+#: Groups are first averaged in this many parts.
+PARTS = 64
 ADD = 0.1
 #: Logits above it count as it, so that float32 exponentials and their sums stay finite.
 LARGEST = np.float32(60)
@@ -69,13 +79,34 @@ class Vocabulary:
         inside = int(counts[:n].sum())
         return cls(hashes[order], counts[order], entry[order], total, distinct, total - inside, distinct - n)
 
+    def slots(self) -> np.ndarray:
+        """Open-addressed slots with the place of each word, or -1; made by each task."""
+        if "_slots" not in self.__dict__:
+            table = np.full(max(1024, 1 << (4 * len(self.hashes) - 1).bit_length() if len(self.hashes) else 0), -1, np.int64)
+            left, mask, step = np.arange(len(self.hashes)), np.uint64(len(table) - 1), np.uint64(0)
+            while len(left):
+                at = (self.hashes[left] + step) & mask
+                free = table[at] < 0
+                table[at[free]] = left[free]
+                left, step = left[table[at] != left], step + np.uint64(1)
+            self._slots = table
+        return self._slots
+
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Entry and head count of words; the count of a word outside the head is -1."""
         if not len(self.hashes):
             return np.full(len(words), ENTRIES - 1), np.full(len(words), -1)
-        at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        hit = self.hashes[at] == words
-        return np.where(hit, self.entry[at], ENTRIES - 1), np.where(hit, self.counts[at], -1)
+        table = self.slots()
+        found, left = np.full(len(words), -1), np.arange(len(words))
+        mask, step = np.uint64(len(table) - 1), np.uint64(0)
+        while len(left):
+            own = words[left]
+            place = table[(own + step) & mask]
+            hit = (place >= 0) & (self.hashes[place] == own)
+            found[left[hit]] = place[hit]
+            left, step = left[(place >= 0) & ~hit], step + np.uint64(1)
+        hit = found >= 0
+        return np.where(hit, self.entry[found], ENTRIES - 1), np.where(hit, self.counts[found], -1)
 
     @property
     def base_mass(self) -> float:
@@ -148,52 +179,62 @@ class Gru:
         return out
 
     def steps(self, x: np.ndarray, h: np.ndarray, keep: bool):
-        """Hidden states before each step of a window (x: steps by lanes), the state after it, and what backpropagation needs."""
-        states, saved = np.empty((len(x), x.shape[1], HIDDEN), np.float32), []
-        H = HIDDEN
-        for t in range(len(x)):
-            states[t] = h
-            g, u = self.inp[x[t]], h @ self.rec
-            rz = 1 / (1 + np.exp(-(g[:, : 2 * H] + u[:, : 2 * H])))
-            r, z = rz[:, :H], rz[:, H:]
-            n = np.tanh(g[:, 2 * H :] + r * u[:, 2 * H :])
-            if keep:
-                saved.append((rz, n, u[:, 2 * H :]))
-            h = n + z * (h - n)
-        return states, h, saved
+        """Hidden states before each step of a window (x: steps by lanes) and after the last, and the gates if kept."""
+        H, (n_steps, lanes) = HIDDEN, x.shape
+        kind = self.flat.dtype
+        states = np.empty((n_steps + 1, lanes, H), kind)
+        gates = np.empty((n_steps if keep else 1, lanes, 4 * H), kind)  # r, z, n, and the recurrent part of n
+        states[0] = h
+        for t in range(n_steps):
+            g, gate = self.inp[x[t]], gates[t if keep else 0]
+            u = states[t] @ self.rec
+            rz, n = gate[:, : 2 * H], gate[:, 2 * H : 3 * H]
+            np.add(g[:, : 2 * H], u[:, : 2 * H], out=rz)
+            np.negative(rz, out=rz)
+            np.exp(rz, out=rz)
+            rz += 1
+            np.reciprocal(rz, out=rz)
+            gate[:, 3 * H :] = u[:, 2 * H :]
+            np.multiply(rz[:, :H], u[:, 2 * H :], out=n)
+            n += g[:, 2 * H :]
+            np.tanh(n, out=n)
+            new = states[t + 1]
+            np.subtract(states[t], n, out=new)
+            new *= rz[:, H:]
+            new += n
+        return states, gates
 
     def log_probs(self, h: np.ndarray, y: np.ndarray, grads: Gru | None = None):
         """Natural log of the probability of entries y after states h; with grads, also their gradient to h."""
-        cls, word = y // PER_CLASS, y % PER_CLASS
-        logits = np.minimum(h @ self.wc + self.bc, LARGEST)
-        e = np.exp(logits)
-        total = e.sum(1)
-        rows = np.arange(len(y))
-        out = logits[rows, cls] - np.log(total)
+        cls = (y // PER_CLASS).astype(np.uint8)
+        order = np.argsort(cls, kind="stable")
+        h, cls, word = h[order], cls[order], (y % PER_CLASS)[order]
+        ends, rows = np.searchsorted(cls, np.arange(CLASSES + 1)), np.arange(len(y))
+        used = [(c, slice(ends[c], ends[c + 1])) for c in np.flatnonzero(np.diff(ends))]
+        logits = h @ self.wc
+        logits += self.bc
+        out, off = _softmax(logits, rows, cls)
         back = None
         if grads is not None:
-            e /= total[:, None]
-            e[rows, cls] -= 1
-            grads.wc += h.T @ e
-            grads.bc += e.sum(0)
-            back = e @ self.wc.T
-        order = np.argsort(cls, kind="stable")
-        ends = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(ends)):
-            i = order[ends[c] : ends[c + 1]]
-            hi = h[i]
-            logits = np.minimum(hi @ self.wo[c] + self.bo[c], LARGEST)
-            e = np.exp(logits)
-            total = e.sum(1)
-            k = np.arange(len(i))
-            out[i] += logits[k, word[i]] - np.log(total)
-            if grads is not None:
-                e /= total[:, None]
-                e[k, word[i]] -= 1
-                grads.wo[c] += hi.T @ e
-                grads.bo[c] += e.sum(0)
-                back[i] += e @ self.wo[c].T
-        return out, back
+            grads.wc += h.T @ off
+            grads.bc += off.sum(0)
+            back = off @ self.wc.T
+        for c, i in used:
+            np.matmul(h[i], self.wo[c], out=logits[i])
+            logits[i] += self.bo[c]
+        logp, off = _softmax(logits, rows, word)
+        out += logp
+        unsorted = np.empty_like(out)
+        unsorted[order] = out
+        if grads is None:
+            return unsorted, None
+        for c, i in used:
+            grads.wo[c] += h[i].T @ off[i]
+            grads.bo[c] += off[i].sum(0)
+            back[i] += off[i] @ self.wo[c].T
+        dh = np.empty_like(back)
+        dh[order] = back
+        return unsorted, dh
 
     def window(self, x: np.ndarray, y: np.ndarray, mask: np.ndarray, h: np.ndarray, grads: Gru | None):
         """One window: log probabilities of the unmasked targets and the state after it.
@@ -201,33 +242,48 @@ class Gru:
         A target is predicted from the state after its predecessor went in, so step t
         feeds x[t] (what came before) and the state after it predicts y[t].
         """
-        states, last, saved = self.steps(x, h, grads is not None)
-        after = np.concatenate((states[1:], last[None]))
-        hs, ys = after[mask], y[mask]
-        logp, back = self.log_probs(hs, ys, grads)
+        states, gates = self.steps(x, h, grads is not None)
+        before, after = states[:-1], states[1:]
+        logp, back = self.log_probs(after[mask], y[mask], grads)
         if grads is not None:
             H, dafter = HIDDEN, np.zeros_like(after)
             dafter[mask] = back
+            r, z, n, un = (gates[..., i * H : (i + 1) * H] for i in range(4))
+            rest = 1 - z
+            by_n, by_z, by_r = rest * (1 - n * n), (before - n) * z * rest, un * r * (1 - r)
+            recs = np.empty((*x.shape, 3 * H), self.flat.dtype)
+            dns = np.empty_like(after)
             dh = np.zeros_like(h)
-            inputs = np.empty((*x.shape, 3 * H), np.float32)
-            recs = np.empty_like(inputs)
             for t in range(len(x) - 1, -1, -1):
-                dh = dh + dafter[t]
-                rz, n, un = saved[t]
-                r, z = rz[:, :H], rz[:, H:]
-                dn = dh * (1 - z) * (1 - n * n)
-                dz = dh * (states[t] - n) * z * (1 - z)
-                dr = dn * un * r * (1 - r)
-                dg = np.concatenate((dr, dz, dn), 1)
-                du = np.concatenate((dr, dz, dn * r), 1)
-                inputs[t], recs[t] = dg, du
-                dh = dh * z + du @ self.rec.T
-            flat, inputs = x.ravel(), inputs.reshape(-1, 3 * H)
-            grads.rec += states.reshape(-1, H).T @ recs.reshape(-1, 3 * H)
+                dh += dafter[t]
+                du, dn = recs[t], dns[t]
+                np.multiply(dh, by_n[t], out=dn)
+                np.multiply(dn, by_r[t], out=du[:, :H])
+                np.multiply(dh, by_z[t], out=du[:, H : 2 * H])
+                np.multiply(dn, r[t], out=du[:, 2 * H :])
+                dh *= z[t]
+                dh += du @ self.rec.T
+            recs = recs.reshape(-1, 3 * H)
+            grads.rec += before.reshape(-1, H).T @ recs
+            recs[:, 2 * H :] = dns.reshape(-1, H)
+            flat = x.ravel().astype(np.uint16)
             order = np.argsort(flat, kind="stable")
-            first = np.flatnonzero(np.concatenate(([True], np.diff(flat[order]) > 0)))
-            grads.inp[flat[order[first]]] += np.add.reduceat(inputs[order], first, axis=0)
-        return logp, last
+            flat = flat[order]
+            first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+            grads.inp[flat[first]] += np.add.reduceat(recs[order], first, axis=0)
+        return logp, states[-1]
+
+
+def _softmax(logits: np.ndarray, rows: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probabilities of the chosen columns, and probabilities less one at the chosen ones; both in place of the logits."""
+    np.minimum(logits, LARGEST, out=logits)
+    out = logits[rows, chosen]
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    out -= np.log(total)
+    logits *= (1 / total)[:, None]
+    logits[rows, chosen] -= 1
+    return out, logits
 
 
 def groups(entries: np.ndarray, counts: np.ndarray, lanes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -284,87 +340,142 @@ def log_likelihood(model: Gru, entries: np.ndarray, counts: np.ndarray, end: int
     return out / np.log(10)
 
 
+def entries_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of a binary column, joined, and their number in each row."""
+    data, offsets = ragged.packed(column)
+    return data.view(np.uint16).astype(np.int64), np.diff(offsets) // 2
+
+
 def _gathered(batches: Iterator[pa.RecordBatch], place: int):
-    """Batches with their tokens, put together until there are enough to fill the lanes."""
+    """Rows with their entries, put together until there are ``GATHERED`` tokens, however they came in batches."""
     held, size = [], 0
     for batch in batches:
-        words, counts = tokens(*ragged.packed(batch.column(place)))
-        held.append((batch, words, counts))
-        size += len(words)
-        if size >= GATHERED:
-            yield held
-            held, size = [], 0
+        counts = entries_of(batch.column(place))[1]
+        at = 0
+        while at < len(counts):
+            sums = np.cumsum(counts[at:])
+            end = at + min(int(np.searchsorted(sums, GATHERED - size)) + 1, len(sums))
+            held.append(batch.slice(at, end - at))
+            size += int(sums[end - at - 1])
+            if size >= GATHERED:
+                yield held
+                held, size = [], 0
+            at = end
     if held:
         yield held
 
 
-def train_pass(train: DataFrame, vocabulary, weights, spark) -> np.ndarray | None:
-    """One pass of every task over all its documents from common weights; the weights averaged by tokens."""
+def _joined(held: list[pa.RecordBatch], place: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries and counts of the rows that were put together."""
+    found = [entries_of(b.column(place)) for b in held]
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def read_entries(docs: DataFrame, vocabulary) -> DataFrame:
+    """Of every text: its tokens, the known ones, the base score as far as the head knows, and its entries in the model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = vocabulary.value
+        for batch in batches:
+            words, n = tokens(*ragged.packed(batch.column(1)))
+            entry, count = own.find(words)
+            row, inside = ragged.row_of(n), count >= 0
+            add = lambda values, row=row, n=n: np.bincount(row, values, len(n))
+            logs = np.where(inside, np.log10(np.maximum(count, 0) + ADD), 0.0)
+            # A word of the last entry is drawn by its count; that of a word outside the head is added after the join.
+            drawn = add(np.where(entry == ENTRIES - 1, logs - np.log10(own.other_mass), 0.0))
+            base = add(logs) - n * np.log10(own.base_mass)
+            rest = words[~inside].view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(ragged.starts_of(add(~inside).astype(np.int64)).astype(np.int32)), pa.array(rest))
+            ends = ragged.starts_of(2 * n).astype(np.int32)
+            packed = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(entry.astype(np.uint16))])
+            known = pa.array(add(count > 0).astype(np.int64))
+            columns = [batch.column(0), batch.column(2), batch.column(3), pa.array(n), known, pa.array(base), pa.array(drawn), lists, packed]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "text_hash", "n_tokens", "n_known", "base", "drawn", "rest", "entries"])
+
+    kind = docs.schema["id"].dataType.simpleString()
+    rows = docs.select("id", "text", "held_out", F.xxhash64("text").alias("text_hash"))
+    return rows.mapInArrow(
+        ragged.per_task(run),
+        f"id {kind}, held_out boolean, text_hash long, n_tokens long, n_known long, base double, drawn double, rest array<long>, entries binary",
+    )
+
+
+def dealt(train: DataFrame, total: int) -> tuple[DataFrame, int]:
+    """Every training row with its group and its place there, and the number of groups; both follow from the rows alone."""
+    n = min(MOST_GROUPS, max(1, -(-total // GROUP_TOKENS)))
+    texts = train.groupBy("id", "text_hash").agg(F.any_value("entries").alias("entries"), F.count("*").alias("n"))
+    copies = texts.select("id", "text_hash", "entries", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"))
+    place = F.xxhash64("id", "text_hash", "copy")
+    return copies.select("id", "text_hash", "copy", "entries", place.alias("place"), F.pmod(place, F.lit(n)).cast("int").alias("group")), n
+
+
+def train_pass(rows: DataFrame, n_groups: int, vocabulary, weights) -> np.ndarray | None:
+    """One pass over all rows, each group from common weights; the weights averaged by tokens, in two levels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary.value
-        end = int(vocab.find(np.array([END]))[0][0])
-        trainer = Trainer(Gru(weights.value.copy()), end)
-        for held in _gathered(batches, 0):
-            entries = np.concatenate([vocab.find(w)[0] for _, w, _ in held])
-            trainer.fit(entries, np.concatenate([c for _, _, c in held]))
+        end = int(vocabulary.value.find(np.array([END]))[0][0])
+        trainer, group = Trainer(Gru(weights.value.copy()), end), None
+        for held in _gathered(batches, 1):
+            group = held[0].column(0)[0].as_py()
+            trainer.fit(*_joined(held, 1))
         if trainer.seen:
             for i in range(0, Gru.SIZE, BLOCK):
                 part = trainer.model.flat[i : i + BLOCK].astype(np.float64) * trainer.seen
-                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([trainer.seen]), pa.array([part], pa.list_(pa.float64()))], ["at", "n", "part"])
+                columns = [pa.array([x]) for x in (i, group % PARTS, group, trainer.seen)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([part], pa.list_(pa.float64()))], ["at", "lane", "group", "n", "part"])
+
+    def total(key: str):
+        """Sums of a group's rows, added in the order of ``key``, so that they come out the same each time."""
 
-    def mean(table: pa.Table) -> pa.Table:
-        n = table["n"].to_numpy().sum()
-        total = np.sum(np.stack([x.values.to_numpy() for x in table["part"]]), axis=0) / n
-        return pa.table({"at": [table["at"][0].as_py()], "part": pa.array([total], pa.list_(pa.float64()))})
+        def run(table: pa.Table) -> pa.Table:
+            table = table.sort_by(key)
+            parts = np.sum(np.stack([np.asarray(x.values) for x in table["part"]]), axis=0)
+            return pa.table({"at": table["at"][:1], "lane": table["lane"][:1], "n": [table["n"].to_numpy().sum()], "part": pa.array([parts], pa.list_(pa.float64()))})
 
-    parts = train.select("text").mapInArrow(ragged.per_task(run), "at long, n long, part array<double>").groupBy("at").applyInArrow(mean, "at long, part array<double>").collect()  # the weights
-    if not parts:
+        return run
+
+    # One group is one partition; its rows are trained in the order of their places.
+    groups_ = rows.repartitionById(n_groups, F.col("group")).sortWithinPartitions("place", "id", "text_hash", "copy").select("group", "entries")
+    parts = groups_.mapInArrow(ragged.per_task(run), "at long, lane long, group long, n long, part array<double>")
+    parts = parts.groupBy("at", "lane").applyInArrow(total("group"), "at long, lane long, n long, part array<double>")
+    found = parts.groupBy("at").applyInArrow(total("lane"), "at long, lane long, n long, part array<double>").collect()  # the weights
+    if not found:
         return None
-    return np.concatenate([np.array(r["part"], np.float32) for r in sorted(parts, key=lambda r: r["at"])])
+    return np.concatenate([(np.array(r["part"]) / r["n"]).astype(np.float32) for r in sorted(found, key=lambda r: r["at"])])
 
 
 def log_likelihoods(df: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id column, held_out, n_tokens, n_known, train_tokens, base_score, score of every text; learned from rows not held out."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("held_out", held_out("id", folds))
-    train = docs.where(~F.col("held_out"))
-    counts = written(word_counts(train), "counts")
+    counts = written(word_counts(docs.where(~F.col("held_out"))), "counts")
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     head = counts.orderBy(F.desc("n"), "word").limit(HEAD).toArrow()
     vocab = Vocabulary.of(head["word"].to_numpy().view(np.uint64), head["n"].to_numpy(), sums["n"], sums["v"])
     vocabulary = spark.sparkContext.broadcast(vocab)
+    read = written(read_entries(docs, vocabulary), "entries")
+    train = read.where(~F.col("held_out")).select("id", "text_hash", "entries")
+    first = train.orderBy(F.xxhash64("id", "text_hash"), "id", "text_hash").limit(WARM_ROWS)
     weights = Gru.start(vocab).flat
-    for part in (train.orderBy(F.xxhash64("id"), "id").limit(WARM_ROWS), train):
-        weights = w if (w := train_pass(part, vocabulary, spark.sparkContext.broadcast(weights), spark)) is not None else weights
+    for part in (dealt(first, 1), dealt(train, vocab.total)):
+        weights = w if (w := train_pass(*part, vocabulary, spark.sparkContext.broadcast(weights))) is not None else weights
     shared = spark.sparkContext.broadcast(weights)
+    names = read.columns[:-1]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, model = vocabulary.value, Gru(shared.value)
         end = int(own.find(np.array([END]))[0][0])
-        for held in _gathered(batches, 1):
-            found = [own.find(w) for _, w, _ in held]
-            scores = log_likelihood(model, np.concatenate([f[0] for f in found]), np.concatenate([c for _, _, c in held]), end)
-            at = 0
-            for (batch, words, n), (entry, count) in zip(held, found, strict=True):
-                row, inside = ragged.row_of(n), count >= 0
-                add = lambda values, row=row, n=n: np.bincount(row, values, len(n))
-                logs = np.where(inside, np.log10(np.maximum(count, 0) + ADD), 0.0)
-                other = entry == ENTRIES - 1
-                # A word of the last entry is drawn by its count; that of a word outside the head is added after the join.
-                drawn = add(np.where(other, logs - np.log10(own.other_mass), 0.0))
-                base = add(logs) - n * np.log10(own.base_mass)
-                rest = words[~inside].view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(ragged.starts_of(add(~inside).astype(np.int64)).astype(np.int32)), pa.array(rest))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), batch.column(3), pa.array(n), pa.array(add(count > 0).astype(np.int64)), pa.array(base), pa.array(scores[at : at + len(n)] + drawn), lists],
-                    ["id", "held_out", "text_hash", "n_tokens", "n_known", "base", "score", "rest"],
-                )
-                at += len(n)
-
-    kind = df.schema[id_col].dataType.simpleString()
-    rows = docs.select("id", "text", "held_out", F.xxhash64("text").alias("text_hash"))
-    scored = written(rows.mapInArrow(ragged.per_task(score), f"id {kind}, held_out boolean, text_hash long, n_tokens long, n_known long, base double, score double, rest array<long>"), "scored")
+        for held in _gathered(batches, names.index("rest") + 1):
+            scores, at = log_likelihood(model, *_joined(held, len(names)), end), 0
+            for batch in held:
+                drawn = batch.column(names.index("drawn")).to_numpy() + scores[at : at + batch.num_rows]
+                at += batch.num_rows
+                columns = {name: batch.column(i) for i, name in enumerate(names)} | {"drawn": pa.array(drawn)}
+                yield pa.RecordBatch.from_arrays(list(columns.values()), [("score" if n == "drawn" else n) for n in names])
+
+    kind = docs.schema["id"].dataType.simpleString()
+    scored = written(read.mapInArrow(ragged.per_task(score), f"id {kind}, held_out boolean, text_hash long, n_tokens long, n_known long, base double, score double, rest array<long>"), "scored")
     rare = scored.where(F.size("rest") > 0).dropDuplicates(["id", "text_hash"]).select("id", "text_hash", F.explode("rest").alias("word"))
     known = rare.join(counts, "word", "left").groupBy("id", "text_hash").agg(F.count("n").alias("more"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + F.lit(ADD))).alias("logs"))
     same = [F.col("id").eqNullSafe(F.col("_id")), F.col("text_hash") == F.col("_hash")]
