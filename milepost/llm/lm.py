@@ -179,28 +179,32 @@ class Gru:
         return out
 
     def steps(self, x: np.ndarray, h: np.ndarray, keep: bool):
-        """Hidden states before each step of a window (x: steps by lanes) and after the last, and the gates if kept."""
+        """Hidden states before each step of a window (x: steps by lanes) and after the last, and the gates if kept.
+
+        Both have features before lanes, so that every gate is one block of memory.
+        """
         H, (n_steps, lanes) = HIDDEN, x.shape
-        kind = self.flat.dtype
-        states = np.empty((n_steps + 1, lanes, H), kind)
-        gates = np.empty((n_steps if keep else 1, lanes, 4 * H), kind)  # r, z, n, and the recurrent part of n
-        states[0] = h
+        kind, rec = self.flat.dtype, np.ascontiguousarray(self.rec.T)
+        states = np.empty((n_steps + 1, H, lanes), kind)
+        gates = np.empty((n_steps if keep else 1, 4 * H, lanes), kind)  # r, z, n, and the recurrent part of n
+        u = np.empty((3 * H, lanes), kind)
+        states[0] = h.T
         for t in range(n_steps):
-            g, gate = self.inp[x[t]], gates[t if keep else 0]
-            u = states[t] @ self.rec
-            rz, n = gate[:, : 2 * H], gate[:, 2 * H : 3 * H]
-            np.add(g[:, : 2 * H], u[:, : 2 * H], out=rz)
+            g, gate = np.take(self.inp, x[t], axis=0).T, gates[t if keep else 0]
+            np.matmul(rec, states[t], out=u)
+            rz, n = gate[: 2 * H], gate[2 * H : 3 * H]
+            np.add(g[: 2 * H], u[: 2 * H], out=rz)
             np.negative(rz, out=rz)
             np.exp(rz, out=rz)
             rz += 1
             np.reciprocal(rz, out=rz)
-            gate[:, 3 * H :] = u[:, 2 * H :]
-            np.multiply(rz[:, :H], u[:, 2 * H :], out=n)
-            n += g[:, 2 * H :]
+            gate[3 * H :] = u[2 * H :]
+            np.multiply(rz[:H], u[2 * H :], out=n)
+            n += g[2 * H :]
             np.tanh(n, out=n)
             new = states[t + 1]
             np.subtract(states[t], n, out=new)
-            new *= rz[:, H:]
+            new *= rz[H:]
             new += n
         return states, gates
 
@@ -243,35 +247,36 @@ class Gru:
         feeds x[t] (what came before) and the state after it predicts y[t].
         """
         states, gates = self.steps(x, h, grads is not None)
-        before, after = states[:-1], states[1:]
+        after = np.ascontiguousarray(states[1:].transpose(0, 2, 1))
         logp, back = self.log_probs(after[mask], y[mask], grads)
         if grads is not None:
-            H, dafter = HIDDEN, np.zeros_like(after)
+            H, before, dafter = HIDDEN, states[:-1], np.zeros_like(after)
             dafter[mask] = back
-            r, z, n, un = (gates[..., i * H : (i + 1) * H] for i in range(4))
+            r, z, n, un = (gates[:, i * H : (i + 1) * H] for i in range(4))
             rest = 1 - z
             by_n, by_z, by_r = rest * (1 - n * n), (before - n) * z * rest, un * r * (1 - r)
-            recs = np.empty((*x.shape, 3 * H), self.flat.dtype)
-            dns = np.empty_like(after)
-            dh = np.zeros_like(h)
+            recs = np.empty((len(x), 3 * H, x.shape[1]), self.flat.dtype)
+            dns = np.empty_like(before)
+            dh, du_h = np.zeros((H, x.shape[1]), self.flat.dtype), np.empty((H, x.shape[1]), self.flat.dtype)
             for t in range(len(x) - 1, -1, -1):
-                dh += dafter[t]
+                dh += dafter[t].T
                 du, dn = recs[t], dns[t]
                 np.multiply(dh, by_n[t], out=dn)
-                np.multiply(dn, by_r[t], out=du[:, :H])
-                np.multiply(dh, by_z[t], out=du[:, H : 2 * H])
-                np.multiply(dn, r[t], out=du[:, 2 * H :])
+                np.multiply(dn, by_r[t], out=du[:H])
+                np.multiply(dh, by_z[t], out=du[H : 2 * H])
+                np.multiply(dn, r[t], out=du[2 * H :])
                 dh *= z[t]
-                dh += du @ self.rec.T
-            recs = recs.reshape(-1, 3 * H)
-            grads.rec += before.reshape(-1, H).T @ recs
-            recs[:, 2 * H :] = dns.reshape(-1, H)
+                np.matmul(self.rec, du, out=du_h)
+                dh += du_h
+            grads.rec += np.tensordot(before, recs, ((0, 2), (0, 2)))
+            recs[:, 2 * H :] = dns
+            recs = np.ascontiguousarray(recs.transpose(0, 2, 1)).reshape(-1, 3 * H)
             flat = x.ravel().astype(np.uint16)
             order = np.argsort(flat, kind="stable")
             flat = flat[order]
             first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
             grads.inp[flat[first]] += np.add.reduceat(recs[order], first, axis=0)
-        return logp, states[-1]
+        return logp, np.ascontiguousarray(states[-1].T)
 
 
 def _softmax(logits: np.ndarray, rows: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
