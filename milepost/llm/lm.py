@@ -215,26 +215,30 @@ class Gru:
         h, cls, word = h[order], cls[order], (y % PER_CLASS)[order]
         ends, rows = np.searchsorted(cls, np.arange(CLASSES + 1)), np.arange(len(y))
         used = [(c, slice(ends[c], ends[c + 1])) for c in np.flatnonzero(np.diff(ends))]
-        logits = h @ self.wc
-        logits += self.bc
-        out, off = _softmax(logits, rows, cls)
+        # A last feature of one carries the biases; logits are cut only where weights let them pass the limit, as |h| <= 1.
+        h = np.concatenate((h, np.ones((len(h), 1), h.dtype)), 1)
+        wc = np.concatenate((self.wc, self.bc[None]))
+        wo = np.concatenate((self.wo, self.bo[:, None]), 1)
+        logits = h @ wc
+        out, off = _softmax(logits, rows, cls, np.abs(wc).sum(0).max() > LARGEST)
         back = None
         if grads is not None:
-            grads.wc += h.T @ off
-            grads.bc += off.sum(0)
+            g = h.T @ off
+            grads.wc += g[:-1]
+            grads.bc += g[-1]
             back = off @ self.wc.T
         for c, i in used:
-            np.matmul(h[i], self.wo[c], out=logits[i])
-            logits[i] += self.bo[c]
-        logp, off = _softmax(logits, rows, word)
+            np.matmul(h[i], wo[c], out=logits[i])
+        logp, off = _softmax(logits, rows, word, np.abs(wo).sum(1).max() > LARGEST)
         out += logp
         unsorted = np.empty_like(out)
         unsorted[order] = out
         if grads is None:
             return unsorted, None
         for c, i in used:
-            grads.wo[c] += h[i].T @ off[i]
-            grads.bo[c] += off[i].sum(0)
+            g = h[i].T @ off[i]
+            grads.wo[c] += g[:-1]
+            grads.bo[c] += g[-1]
             back[i] += off[i] @ self.wo[c].T
         dh = np.empty_like(back)
         dh[order] = back
@@ -279,9 +283,10 @@ class Gru:
         return logp, np.ascontiguousarray(states[-1].T)
 
 
-def _softmax(logits: np.ndarray, rows: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log probabilities of the chosen columns, and probabilities less one at the chosen ones; both in place of the logits."""
-    np.minimum(logits, LARGEST, out=logits)
+def _softmax(logits: np.ndarray, rows: np.ndarray, chosen: np.ndarray, cut: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Log probabilities of the chosen columns, and probabilities less one at the chosen ones; the latter in place of the logits."""
+    if cut:
+        np.minimum(logits, LARGEST, out=logits)
     out = logits[rows, chosen]
     np.exp(logits, out=logits)
     total = logits @ np.ones(logits.shape[1], logits.dtype)
