@@ -173,3 +173,36 @@ def test_counters_ride_along(spark, tmp_path):
     out = counted(df, {"malos": missed("a", F.col("a").try_cast("int"))}, seen)
     out.select(F.col("a").try_cast("int").alias("n")).write.parquet(str(tmp_path / "out"))
     assert seen.get == {"filas": 5, "malos": 1}
+
+
+def _shuffled(plan) -> int:
+    """Rows that the exchanges of a plan wrote."""
+    own = plan.metrics().get("shuffleRecordsWritten") if plan.nodeName() == "Exchange" else None
+    children = plan.children()
+    return (own.get().value() if own and own.isDefined() else 0) + sum(_shuffled(children.apply(i)) for i in range(children.size()))
+
+
+def test_pairs_of_split_documents_are_not_shuffled(spark, shuffle_joins, tmp_path):
+    """Also with repeated orders, orders of several documents and NULL keys."""
+    rows = [(i, i % 7, "F" if i % 3 else "O") for i in range(0, 12_000)]
+    rows += [(11, c, "F") for c in range(7)] + [(21, c, "F") for c in (1, 1, 2)] + [(11, 2, "F"), (None, 3, "F"), (5, None, "F"), (7, None, "O"), (7, 99, "O"), (7, 98, "O")]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
+    from __spark_entry__ import queries
+
+    df = queries()["document_match_split"](spark, str(tmp_path))
+    got = {r[0]: tuple(r)[1:] for r in df.collect()}
+    docs = [(o, s, "B0" if o is not None and o % 2 == 0 else None if c is None else f"B{c}") for o, c, s in rows]
+    by_key, want = {}, {}
+    for o, s, k in docs:
+        if k and s == "F" and o is not None and o % 10 < 4:
+            by_key.setdefault(k, []).append(o)
+    for o, _, k in docs:
+        for survey in by_key.get(k, [None]):
+            n, seen = want.setdefault(survey, [0, set()])
+            want[survey][0] = n + 1
+            seen.update(() if o is None else (o,))
+    assert got == {k: (n, len(seen)) for k, (n, seen) in want.items()}
+    pairs = sum(n for n, _ in want.values())
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    assert _shuffled(execution.executedPlan()) < pairs / 20
