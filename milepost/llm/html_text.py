@@ -6,7 +6,9 @@ adverts and comments (by element, or a role, class or id that is such a name as
 whole or a fixed compound of it) are boilerplate; blocks in an article or main element
 are content, also below a wrapper whose name is such a compound (``right-sidebar``),
 but not below menus, comments and the like. Ids of headings and paragraphs, anchors
-made of their text, say nothing. Where a page says neither, its host decides:
+made of their text, say nothing. Where a page says neither, its host decides, also on blocks
+beside an article (a headline, a second part, an unmarked menu). Only where a host has no
+other page to compare, what stands beside an article is boilerplate.
 
 The undecided and boilerplate blocks of each page are joined into one stream of
 tokens, with a mark of its block at every token. Every token with ``run`` tokens from it
@@ -63,6 +65,9 @@ UNENDED = re.compile(r"<(?:!--(?:(?!-->).)*|[A-Za-z/!?][^<>]*)\Z", re.S)
 BOILER, OPEN, CONTENT = 0, 1, 2
 #: Within a page only: a wrapper whose name marks boilerplate, in which an article may still lie.
 WRAPPER = 3
+#: Undecided, on a page with an article.
+BESIDE = 4
+UNDECIDED = (OPEN, BESIDE)
 
 
 class Blocks(HTMLParser):
@@ -141,7 +146,7 @@ class Blocks(HTMLParser):
 
 
 def blocks(html: str) -> list[tuple[int, str]]:
-    """Blocks of a page; where it has no article, those at its top level are undecided."""
+    """Blocks of a page; those at its top level are undecided, also beside an article."""
     if not html:
         return []
     reader = Blocks()
@@ -149,8 +154,8 @@ def blocks(html: str) -> list[tuple[int, str]]:
     reader.close()
     reader.flush()
     found = reader.found
-    if any(kind == CONTENT for kind, _ in found):  # beside an article, nothing else is the article
-        found = [(BOILER if kind == OPEN else kind, text) for kind, text in found]
+    if any(kind == CONTENT for kind, _ in found):
+        found = [(BESIDE if kind == OPEN else kind, text) for kind, text in found]
     return found
 
 
@@ -169,7 +174,7 @@ def judged_blocks(pages: DataFrame) -> DataFrame:
 
     def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [blocks(x.as_py() or "") for x in batch.column(4)]
-        open_ = [any(kind == OPEN for kind, _ in f) for f in found]
+        open_ = [any(kind in UNDECIDED for kind, _ in f) for f in found]
         kept = [f if o else [b for b in f if b[0] != CONTENT] for f, o in zip(found, open_, strict=True)]
         kind = pa.list_(pa.struct([pa.field("kind", pa.int32()), pa.field("text", pa.string())]))
         rows = pa.array([[{"kind": k, "text": t} for k, t in f] for f in kept], kind)
@@ -191,7 +196,7 @@ def decided_texts(pages: DataFrame) -> DataFrame:
 
     def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [blocks(x.as_py() or "") for x in batch.column(4)]
-        keep = [all(kind != OPEN for kind, _ in f) for f in found]
+        keep = [all(kind not in UNDECIDED for kind, _ in f) for f in found]
         return _texts(batch, keep, ["\n\n".join(t for kind, t in f if kind == CONTENT) for f, k in zip(found, keep, strict=True) if k])
 
     kind = pages.schema["id"].dataType.simpleString()
@@ -268,8 +273,11 @@ def repeated_runs(streams: DataFrame, run: int) -> DataFrame:
     return hits.groupBy("host", "page").agg(F.collect_set("at").alias("covered"))  # places of one page
 
 
-def unique_runs(blocks: list[dict], covered: list[int] | None, run: int) -> list[str]:
-    """Texts of a page's content, and what is left of its undecided blocks between the repeated runs."""
+def unique_runs(blocks: list[dict], covered: list[int] | None, run: int, compared: bool) -> list[str]:
+    """Texts of a page's content, and what is left of its undecided blocks between the repeated runs.
+
+    Blocks beside an article are left out where the host has no other page (not ``compared``).
+    """
     places = np.asarray(covered or [], np.int64)
     size = sum(b["text"].count(" ") + 1 for b in blocks if b["kind"] != CONTENT)
     edges = np.bincount(places, minlength=size + run + 1) - np.bincount(places + run, minlength=size + run + 1)
@@ -281,7 +289,7 @@ def unique_runs(blocks: list[dict], covered: list[int] | None, run: int) -> list
         tokens = b["text"].split(" ")
         own = hit[at : at + len(tokens)]
         at += len(tokens)
-        if b["kind"] != OPEN:
+        if b["kind"] != OPEN and not (b["kind"] == BESIDE and compared):
             continue
         bounds = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(tokens)]
         kept = np.ones(len(tokens), bool)
@@ -302,14 +310,16 @@ def main_text(df: DataFrame, run: int = 8, id_col: str = "page_id", url_col: str
     pages = pages_of(df, id_col, url_col, html_col)
     judged = written(judged_blocks(pages), "judged")
     open_ = judged.where("open")
-    hosts = open_.select("host").distinct()  # elsewhere no repeat decides
+    hosts = judged.groupBy("host").agg(F.max("open").alias("_open"), (F.min("page") != F.max("page")).alias("compared"))
+    hosts = hosts.where("_open").drop("_open")  # elsewhere no repeat decides
     streams = judged.select("host", "page", F.transform(F.filter("blocks", lambda b: b["kind"] != CONTENT), lambda b: b["text"]).alias("texts"))
-    streams = streams.where(F.size("texts") > 0).join(hosts, "host", "left_semi").dropDuplicates(["host", "page"])
+    streams = streams.where(F.size("texts") > 0).join(hosts.where("compared"), "host", "left_semi").dropDuplicates(["host", "page"])
     repeats = repeated_runs(written(streams, "streams"), run)
-    joined = open_.join(repeats, ["host", "page"], "left").select("id", "url", "blocks", "covered")
+    joined = open_.join(repeats, ["host", "page"], "left").join(hosts, "host").select("id", "url", "blocks", "covered", "compared")
 
     def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = ["\n\n".join(unique_runs(found.as_py(), covered.as_py(), run)) for found, covered in zip(batch.column(2), batch.column(3), strict=True)]
+        rows = zip(*[batch.column(i) for i in (2, 3, 4)], strict=True)
+        texts = ["\n\n".join(unique_runs(found.as_py(), covered.as_py(), run, compared.as_py())) for found, covered, compared in rows]
         return _texts(batch, [True] * len(texts), texts)
 
     kind = df.schema[id_col].dataType.simpleString()

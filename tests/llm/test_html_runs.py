@@ -46,3 +46,13 @@ def test_runs_equal_brute_force(llm, parts, rows):
         for key, value in before.items():
             llm.conf.set(key, value)
     assert got == brute(pages, 4)
+
+
+def test_blocks_beside_an_article_are_judged_by_the_host(llm):
+    """What other pages do not have stays; a host with one page has nothing to judge by."""
+    from milepost.llm.html_text import main_text
+
+    rows = [(i, f"http://a.example/{i}", f"<ul>{MENU}</ul><p>Lead {t}</p><article><p>{t}</p></article>{FOOT}<p>More {t}</p>") for i, t in enumerate(["one", "two"])]
+    rows += [(9, "http://b.example/", rows[0][2]), (3, "http://a.example/3", "<article>only</article>")]
+    got = {r["page_id"]: r["text"] for r in main_text(llm.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == {0: "Lead one\n\none\n\nMore one", 1: "Lead two\n\ntwo\n\nMore two", 9: "one", 3: "only"}
