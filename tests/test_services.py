@@ -62,3 +62,13 @@ def test_delay_loss_and_fragments(spark, rows):
     assert got == [(0, 100.0, 0.0), (2, -100.0, 200.0), (8, 0.0, 100.0), (None, 100.0, 0.0)]
     lines = spark.createDataFrame([("a", "d1", 5), ("a", "d2", 5), ("b", "d1", 3), ("c", None, 1)], "o string, d string, s int")
     assert rows(delivery.fragmentation_effect(lines, "o", "d", "s")) == [(False, 2, 2.0), (True, 1, 5.0)]
+
+
+def test_wide_rows_are_moved_few_times(spark, shuffle_joins):
+    """Lookups of lookups are joined to each other, and the flags come back to the staged rows in one join."""
+    from milepost.catalog.registry import Tables
+    from milepost.catalog.services import tables
+
+    plan = services.services_mart(tables(Tables(spark, "/root/testdata/sf0.001")))._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in x and "_row" in x for x in plan.splitlines()) == 1
+    assert plan.count("Exchange hashpartitioning") < 12
