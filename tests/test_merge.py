@@ -87,3 +87,13 @@ def test_a_bucketed_target_is_not_moved(spark, target, source, shuffle_joins):
     exchanged = [line for line in whole._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in line]
     assert len(exchanged) <= 3  # the source for each of its two uses, and its keys
     spark.sql("DROP TABLE merge_target")
+
+
+@pytest.mark.parametrize("whole", ["keyed", "spread"])
+def test_whole_source_gives_the_same_and_moves_once(spark, rows, shuffle_joins, whole):
+    target = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), (None, 3, "z"), (None, 3, "z"), ("e", 9, "h")], "k string, n int, h string")
+    source = spark.createDataFrame([("a", 1, "x"), ("b", 5, "w"), ("c", 6, "v"), (None, 7, "u"), (None, 7, "u")], "k string, n int, h string")
+    for f in (lambda **w: merge.merge_upsert(target, source, ["k"], on_dup="keep_all", **w), lambda **w: merge.merge_sync(target, source, ["k"], "h", F.col("n") > 5, on_dup="keep_all", **w),
+              lambda **w: merge.change_feed(target, source, ["k"], "h", F.col("n") > 5, on_dup="keep_all", **w)):
+        assert rows(f(whole=whole)) == rows(f())
+        assert f(whole=whole)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2

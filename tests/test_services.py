@@ -66,9 +66,6 @@ def test_delay_loss_and_fragments(spark, rows):
 
 def test_wide_rows_are_moved_few_times(spark, shuffle_joins):
     """Lookups of lookups are joined to each other, and the flags come back to the staged rows in one join."""
-    from milepost.catalog.registry import Tables
-    from milepost.catalog.services import tables
-
-    plan = services.services_mart(tables(Tables(spark, "/root/testdata/sf0.001")))._jdf.queryExecution().executedPlan().toString()
+    plan = services.services_mart(services_queries.tables(Tables(spark, FOLDER)))._jdf.queryExecution().executedPlan().toString()
     assert sum("Exchange hashpartitioning" in x and "_row" in x for x in plan.splitlines()) == 1
     assert plan.count("Exchange hashpartitioning") < 12
