@@ -157,7 +157,7 @@ class Gru:
     SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 
     def __init__(self, flat: np.ndarray):
-        self.flat, at = flat, 0
+        self.flat, self.used, at = flat, None, 0  # used: of gradients, the rows of ``inp`` that a window has touched
         for name, shape in self.SHAPES.items():
             n = int(np.prod(shape))
             setattr(self, name, flat[at : at + n].reshape(shape))
@@ -219,8 +219,8 @@ class Gru:
         h = np.concatenate((h, np.ones((len(h), 1), h.dtype)), 1)
         wc = np.concatenate((self.wc, self.bc[None]))
         wo = np.concatenate((self.wo, self.bo[:, None]), 1)
-        logits = h @ wc
-        out, off = _softmax(logits, rows, cls, np.abs(wc).sum(0).max() > LARGEST)
+        logits, learn = h @ wc, grads is not None
+        out, off = _softmax(logits, rows, cls, np.abs(wc).sum(0).max() > LARGEST, learn)
         back = None
         if grads is not None:
             g = h.T @ off
@@ -229,7 +229,7 @@ class Gru:
             back = off @ self.wc.T
         for c, i in used:
             np.matmul(h[i], wo[c], out=logits[i])
-        logp, off = _softmax(logits, rows, word, np.abs(wo).sum(1).max() > LARGEST)
+        logp, off = _softmax(logits, rows, word, np.abs(wo).sum(1).max() > LARGEST, learn)
         out += logp
         unsorted = np.empty_like(out)
         unsorted[order] = out
@@ -251,7 +251,8 @@ class Gru:
         feeds x[t] (what came before) and the state after it predicts y[t].
         """
         states, gates = self.steps(x, h, grads is not None)
-        after = np.ascontiguousarray(states[1:].transpose(0, 2, 1))
+        by_lane = np.ascontiguousarray(states.transpose(0, 2, 1))
+        after = by_lane[1:]
         logp, back = self.log_probs(after[mask], y[mask], grads)
         if grads is not None:
             H, before, dafter = HIDDEN, states[:-1], np.zeros_like(after)
@@ -272,27 +273,30 @@ class Gru:
                 dh *= z[t]
                 np.matmul(self.rec, du, out=du_h)
                 dh += du_h
-            grads.rec += np.tensordot(before, recs, ((0, 2), (0, 2)))
-            recs[:, 2 * H :] = dns
-            recs = np.ascontiguousarray(recs.transpose(0, 2, 1)).reshape(-1, 3 * H)
+            recs = np.ascontiguousarray(recs.transpose(0, 2, 1))
+            grads.rec += by_lane[:-1].reshape(-1, H).T @ recs.reshape(-1, 3 * H)
+            recs[:, :, 2 * H :] = dns.transpose(0, 2, 1)
+            recs = recs.reshape(-1, 3 * H)
             flat = x.ravel().astype(np.uint16)
             order = np.argsort(flat, kind="stable")
             flat = flat[order]
             first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
-            grads.inp[flat[first]] += np.add.reduceat(recs[order], first, axis=0)
+            grads.used = flat[first]
+            grads.inp[grads.used] += np.add.reduceat(recs[order], first, axis=0)
         return logp, np.ascontiguousarray(states[-1].T)
 
 
-def _softmax(logits: np.ndarray, rows: np.ndarray, chosen: np.ndarray, cut: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Log probabilities of the chosen columns, and probabilities less one at the chosen ones; the latter in place of the logits."""
+def _softmax(logits: np.ndarray, rows: np.ndarray, chosen: np.ndarray, cut: bool, learn: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Log probabilities of the chosen columns, and to learn from probabilities less one at the chosen ones; the latter in place of the logits."""
     if cut:
         np.minimum(logits, LARGEST, out=logits)
     out = logits[rows, chosen]
     np.exp(logits, out=logits)
     total = logits @ np.ones(logits.shape[1], logits.dtype)
     out -= np.log(total)
-    logits *= (1 / total)[:, None]
-    logits[rows, chosen] -= 1
+    if learn:
+        logits *= (1 / total)[:, None]
+        logits[rows, chosen] -= 1
     return out, logits
 
 
@@ -323,19 +327,29 @@ class Trainer:
 
     def __init__(self, model: Gru, end: int):
         self.model, self.end, self.seen = model, end, 0
-        self.grads, self.sums = Gru(np.zeros(Gru.SIZE, np.float32)), np.full(Gru.SIZE, 1e-8, np.float32)
+        self.grads, self.sums = Gru(np.zeros(Gru.SIZE, np.float32)), Gru(np.full(Gru.SIZE, 1e-8, np.float32))
+
+    def step(self, n: int) -> None:
+        """Move the weights by the gradients of n targets. Rows of ``inp`` without a token in the window have none and stay."""
+        rows, rest = self.grads.used, slice(self.grads.inp.size, None)
+        g = self.grads.inp[rows] / n
+        sums = self.sums.inp[rows] + g * g
+        self.sums.inp[rows] = sums
+        self.model.inp[rows] -= self.RATE * g / np.sqrt(sums)
+        self.grads.inp[rows] = 0
+        g = self.grads.flat[rest]
+        g /= n
+        self.sums.flat[rest] += g * g
+        self.model.flat[rest] -= self.RATE * g / np.sqrt(self.sums.flat[rest])
+        g[:] = 0
 
     def fit(self, entries: np.ndarray, counts: np.ndarray) -> None:
         for _, starts, sizes in groups(entries, counts, LANES):
             h = np.zeros((len(sizes), HIDDEN), np.float32)
             for x, y, mask, open_ in windows(entries, starts, sizes, self.end):
-                self.grads.flat[:] = 0
                 _, h = self.model.window(x, y, mask, h[:open_], self.grads)
                 n = int(mask.sum())
-                g = self.grads.flat
-                g /= n
-                self.sums += g * g
-                self.model.flat -= self.RATE * g / np.sqrt(self.sums)
+                self.step(n)
                 self.seen += n
 
 
