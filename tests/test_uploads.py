@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from milepost.sources import uploads
 from milepost.sources.tables import read_upload
 from milepost.sources.uploads import read_upload_split
 
@@ -106,3 +107,22 @@ def test_whole_records_are_not_grouped(spark, tmp_path):
     plan = read_upload_split(spark, str(tmp_path / "p.csv")).select(F.col("k"))._jdf.queryExecution().optimizedPlan().toString()
     direct = plan[plan.index("Union") :].split("Aggregate [position")[0]
     assert "collect_list" not in direct
+
+
+def test_lines_are_joined_where_they_are_read(spark, tmp_path):
+    """Only records over the end of a batch are moved; lines aren't sorted or shuffled for their order."""
+    path = tmp_path / "j.csv"
+    path.write_text("k,v\n" + "".join(f'{i},"a\n""{i}""\n\n"\n\n' for i in range(100)))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    saved, expected = spark.conf.get(key), one_task(spark, str(path))
+    lines = uploads._lines(spark, str(path))
+    parts = uploads._parts(lines.join(F.broadcast(uploads._splits(lines)), uploads.SPLIT))
+    assert parts.where("whole").count() == 100 and parts.where("NOT whole").count() == 0
+    try:
+        for size in (1, 3, 7):
+            spark.conf.set(key, size)
+            assert many_tasks(spark, str(path)) == expected
+    finally:
+        spark.conf.set(key, saved)
+    plan = read_upload_split(spark, str(path), position="at")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
