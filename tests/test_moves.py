@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from milepost.operators import joins
 from milepost.operators.merge import change_feed
 from milepost.plans import reasons, services
 from milepost.sources.tables import clustered
@@ -78,3 +79,13 @@ def test_mart_moves_variants_and_providers_by_their_keys(spark, rows, shuffle_jo
     moved = [x for x in out._jdf.queryExecution().explainString(mode).split("\n\n") if ") Exchange" in x]
     assert len(moved) > 3 and not [x for x in moved if "servicio_solicitado" in x and "comentario_principal" in x]
     assert not [x for x in moved if "profesional_email" in x and "comentario_principal" in x]
+
+
+def test_rows_of_a_frequent_key_are_dealt_a_bounded_number_of_times(spark, shuffle_joins):
+    left = spark.range(600).select(F.col("id").alias("a"), F.lit("k").alias("k"))
+    right = spark.range(400).select(F.col("id").alias("b"), F.lit("k").alias("r"))
+    pairs = joins.split_join(left, right, "k", "r", ["b"], 2)
+    got = pairs.agg(F.count("*"), F.count_distinct("a", "b")).first()
+    assert tuple(got) == (240_000, 240_000)
+    largest = spark.range(1).select(joins.cells(F.lit(27_000_000), 500), joins.cells(F.lit(1_200), 500), joins.cells(F.lit(7), 500)).first()
+    assert tuple(largest) == (joins.CELLS, 3, 1)
