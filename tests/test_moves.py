@@ -89,3 +89,12 @@ def test_rows_of_a_frequent_key_are_dealt_a_bounded_number_of_times(spark, shuff
     assert tuple(got) == (240_000, 240_000)
     largest = spark.range(1).select(joins.cells(F.lit(27_000_000), 500), joins.cells(F.lit(1_200), 500), joins.cells(F.lit(7), 500)).first()
     assert tuple(largest) == (joins.CELLS, 3, 1)
+
+
+def test_order_columns_are_moved_once(spark, rows, shuffle_joins):
+    fact = spark.createDataFrame([(1, "old"), (2, "old"), (None, "old")], "id long, v string")
+    dim = spark.createDataFrame([(1, "b", 3, 1), (1, "a", 3, 2), (1, "c", 2, 3), (2, None, 1, 4)], "id long, v string, t int, w int")
+    out = joins.enrich(fact, dim, ["id"], {"v": "v", "t": "tt"}, order_by=["t desc", "v asc", "w asc"])
+    assert rows(out, "id", "tt", "v") == [(1, 3, "a"), (2, 1, None), (None, None, None)]
+    moved = plan(out)
+    assert "_o_v" not in moved and "_o_t#" not in moved and "_o_w" in moved
